@@ -35,22 +35,23 @@ def session_measures(actions: DataFrame, criteria: Criteria = Criteria()) -> Dat
     Whether a session has a wanted keyword or category is a maximum of a
     condition per row, so no set has to be collected to filter sessions.
     """
-    keyword, category = F.col("search_keyword"), F.col("click_category_id")
+    wanted = {"search_keyword": criteria.keywords, "click_category_id": criteria.category_ids}
+    hits = [
+        F.coalesce(F.bool_or(F.col(name).isin(list(values))), F.lit(False)).alias(f"_hit_{name}")
+        for name, values in wanted.items()
+        if values is not None
+    ]
     measures = actions.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         _visit_seconds().alias("visit_length"),
         F.count(F.lit(1)).alias("step_length"),
         F.min("action_time").alias("start_time"),
-        _any_wanted(keyword, criteria.keywords).alias("_keyword_hit"),
-        _any_wanted(category, criteria.category_ids).alias("_category_hit"),
+        *hits,
     )
-    return measures.where("_keyword_hit AND _category_hit").drop("_keyword_hit", "_category_hit")
-
-
-def _any_wanted(value: Column, wanted) -> Column:
-    if wanted is None:
-        return F.bool_or(F.lit(True))
-    return F.coalesce(F.bool_or(value.isin(list(wanted))), F.lit(False))
+    flags = [name for name in measures.columns if name.startswith("_hit_")]
+    for flag in flags:
+        measures = measures.where(flag)
+    return measures.drop(*flags)
 
 
 def join_session_user(sessions: DataFrame, users: DataFrame) -> DataFrame:

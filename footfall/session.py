@@ -14,12 +14,14 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming state lives off-heap and spills to disk. Each batch uploads its
+    # changes to the checkpoint folder, so a lost executor only costs a reload.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Streaming state lives off-heap and spills to local disk; snapshots go to the
-# query's checkpoint folder, so a lost executor only costs a reload.
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -29,12 +31,10 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def build(master: str | None = None, app: str = "footfall", **conf: str) -> SparkSession:
-    """Create (or fetch) a tuned session. Extra settings use ``_`` for ``.``-free keys
-    through ``conf={'spark.x.y': 'z'}``-style expansion: ``build(**{'spark.x.y': 'z'})``."""
+    """Create (or fetch) a tuned session; more settings as ``build(**{"spark.x.y": "z"})``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     for key, value in {**RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
