@@ -47,8 +47,23 @@ LOWEST_GRADE = "E"
 GOOD_FLOOR = 80
 
 
-def in_range(value: Column, low: int, high: int | None) -> Column:
-    return value >= low if high is None else value.between(low, high)
+def in_range(column: str, low: int, high: int | None) -> str:
+    """Condition that a column lies in one of the ranges above, as SQL text."""
+    return f"{column} >= {low}" if high is None else f"{column} BETWEEN {low} AND {high}"
+
+
+def _bucket(column: str, ranges: tuple) -> Column:
+    branches = [f"WHEN {in_range(column, low, high)} THEN '{name}'" for name, low, high in ranges]
+    return F.expr(f"CASE {' '.join(branches)} END")
+
+
+def visit_bucket(column: str) -> Column:
+    """Name of the visit length range; a visit of 0 seconds is in none (NULL)."""
+    return _bucket(column, VISIT_RANGES)
+
+
+def step_bucket(column: str) -> Column:
+    return _bucket(column, STEP_RANGES)
 
 
 def _first_match(branches: list[tuple[Column, str]]) -> Column:
@@ -59,15 +74,6 @@ def _first_match(branches: list[tuple[Column, str]]) -> Column:
     return chain
 
 
-def visit_bucket(seconds: Column) -> Column:
-    """Name of the visit length range; a visit of 0 seconds is in none (NULL)."""
-    return _first_match([(in_range(seconds, lo, hi), name) for name, lo, hi in VISIT_RANGES])
-
-
-def step_bucket(steps: Column) -> Column:
-    return _first_match([(in_range(steps, lo, hi), name) for name, lo, hi in STEP_RANGES])
-
-
 def area_level(
     area: Column, levels: dict[str, str] = AREA_LEVELS, other: str = OTHER_AREA_LEVEL
 ) -> Column:

@@ -6,13 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ratio2(part: Column, whole: Column) -> Column:
-    """``part / whole`` rounded half-up to two digits, NULL when ``whole`` is 0.
+def ratio2(part: str, whole: str) -> Column:
+    """``part / whole`` of two bigint columns, rounded half-up to two digits; NULL when ``whole`` is 0.
 
     The rounding is done on integers: hundredths = (200*part + whole) div (2*whole).
     A double quotient such as 29/200 is not exactly representable, so rounding
     the quotient would depend on the engine.
     """
-    part, whole = part.cast("bigint"), whole.cast("bigint")
-    hundredths = F.call_function("div", part * 200 + whole, whole * 2)
-    return F.when(whole != 0, hundredths.cast("double") / F.lit(100).cast("double"))
+    return F.expr(
+        f"CASE WHEN {whole} <> 0 THEN "
+        f"CAST((200 * {part} + {whole}) div (2 * {whole}) AS DOUBLE) / CAST(100 AS DOUBLE) END"
+    )

@@ -5,22 +5,18 @@ New tables use real columns; these expressions only decode or rewrite old text.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FIELDS = r"[|]"
-
-
 def record_get(record: Column, field: str) -> Column:
     """Value of the first ``field=value`` entry.
 
-    An entry with an empty value, or with a second ``=`` in it, counts as absent.
+    An entry with an empty value, or with text after a second ``=``, counts as absent.
     """
-    pairs = F.transform(F.split(record, FIELDS), lambda entry: F.split(entry, "="))
-    usable = F.filter(
-        pairs, lambda p: (F.size(p) == 2) & (F.get(p, 0) == field) & (F.get(p, 1) != "")
-    )
-    return F.get(F.get(usable, 0), 1)
+    entry = rf"(?:^|[|]){re.escape(field)}=([^|=]+)=*(?=[|]|$)"
+    return F.nullif(F.regexp_extract(record, entry, 1), F.lit(""))
 
 
 def record_set(record: Column, field: str, value: Column) -> Column:
@@ -28,14 +24,14 @@ def record_set(record: Column, field: str, value: Column) -> Column:
 
     A record without such an entry is returned unchanged.
     """
-    entries = F.split(record, FIELDS)
-    names = F.transform(entries, lambda entry: F.get(F.split(entry, "="), 0))
-    place = F.array_position(names, field) - 1
-    replaced = F.transform(
-        entries,
-        lambda entry, i: F.when(i == place, F.concat(F.lit(f"{field}="), value)).otherwise(entry),
-    )
-    return F.array_join(replaced, "|")
+    fenced = F.concat(F.lit("|"), record, F.lit("|"))
+    # Positions in the fenced text; minus one they are positions in the record.
+    with_value, bare = F.instr(fenced, f"|{field}="), F.instr(fenced, f"|{field}|")
+    start = F.least(F.nullif(with_value, F.lit(0)), F.nullif(bare, F.lit(0)))
+    end = F.call_function("locate", F.lit("|"), fenced, start + 1)
+    head, tail = F.left(record, start - 1), F.substr(record, end - 1)
+    replaced = F.concat(head, F.lit(f"{field}="), value, tail)
+    return F.when(start.isNotNull(), replaced).otherwise(record)
 
 
 def key_part(key: Column, position: int, separator: str = "_") -> Column:

@@ -15,7 +15,7 @@ def is_not_empty(text: Column) -> Column:
 
 
 def null_if_empty(text: Column) -> Column:
-    return F.when(is_not_empty(text), text)
+    return F.nullif(text, F.lit(""))
 
 
 def trim_comma(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.numbers import ratio2
@@ -24,7 +24,8 @@ def page_split_pv(pairs: DataFrame, flow: Sequence[int]) -> DataFrame:
     The flow is a short parameter, so each step is one conditional count of a
     single global aggregate: one pass, one row per task shuffled.
     """
-    return _by_step(_flow_counts(pairs, flow), flow, lambda i: F.col(f"pv_{i}"), "pv")
+    counts = _flow_counts(pairs, flow)
+    return _by_step(counts, flow, [f"pv_{i}" for i in range(1, len(flow))], "pv")
 
 
 def start_page_pv(actions: DataFrame, flow: Sequence[int]) -> DataFrame:
@@ -38,13 +39,11 @@ def page_convert_rate(pairs: DataFrame, flow: Sequence[int]) -> DataFrame:
     The first step is divided by the views of the first page. The rate is NULL
     when the divisor is 0.
     """
-    counts = _flow_counts(pairs, flow)
-
-    def rate(i: int) -> Column:
-        before = "start_pv" if i == 1 else f"pv_{i - 1}"
-        return ratio2(F.col(f"pv_{i}"), F.col(before))
-
-    return _by_step(counts, flow, rate, "convert_rate")
+    steps = range(1, len(flow))
+    rates = _flow_counts(pairs, flow).select(
+        *[ratio2(f"pv_{i}", f"pv_{i - 1}").alias(f"rate_{i}") for i in steps]
+    )
+    return _by_step(rates, flow, [f"rate_{i}" for i in steps], "convert_rate")
 
 
 def page_convert_rate_string(rates: DataFrame) -> DataFrame:
@@ -60,25 +59,23 @@ def page_convert_rate_string(rates: DataFrame) -> DataFrame:
 
 
 def _flow_counts(pairs: DataFrame, flow: Sequence[int]) -> DataFrame:
+    """``pv_0``: views of the first page; ``pv_i``: views of step i."""
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
-    page, previous = F.col("page_id"), F.col("previous_page_id")
     steps = [
-        F.count_if((previous == before) & (page == after)).alias(f"pv_{i}")
-        for i, (before, after) in enumerate(zip(flow, flow[1:]), start=1)
+        f"previous_page_id = {int(before)} AND page_id = {int(after)}"
+        for before, after in zip(flow, flow[1:])
     ]
-    return pairs.agg(F.count_if(page == flow[0]).alias("start_pv"), *steps)
-
-
-def _by_step(counts: DataFrame, flow: Sequence[int], value, name: str) -> DataFrame:
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).cast("bigint").alias("step"),
-                F.lit(f"{before}_{after}").alias("page_split"),
-                value(i).alias(name),
-            )
-            for i, (before, after) in enumerate(zip(flow, flow[1:]), start=1)
-        ]
+    conditions = [f"page_id = {int(flow[0])}", *steps]
+    return pairs.agg(
+        *[F.expr(f"count_if({condition})").alias(f"pv_{i}") for i, condition in enumerate(conditions)]
     )
-    return counts.select(F.explode(rows).alias("s")).select("s.*")
+
+
+def _by_step(wide: DataFrame, flow: Sequence[int], columns: list[str], name: str) -> DataFrame:
+    """One row per step from one column per step."""
+    steps = [
+        f"{i}L, '{before}_{after}', {column}"
+        for i, (before, after, column) in enumerate(zip(flow, flow[1:], columns), start=1)
+    ]
+    return wide.selectExpr(f"stack({len(steps)}, {', '.join(steps)}) AS (step, page_split, {name})")

@@ -72,22 +72,17 @@ def session_filter(actions: DataFrame, users: DataFrame, criteria: Criteria) ->
 
 def session_aggr_stat(sessions: DataFrame) -> DataFrame:
     """One row: number of sessions and the share of every length and depth range."""
-    visit = {
-        f"visit_length_{name}_ratio": labels.in_range(F.col("visit_length"), low, high)
-        for name, low, high in labels.VISIT_RANGES
+    ranges = {
+        f"{column}_{name}_ratio": labels.in_range(column, low, high)
+        for column, table in (("visit_length", labels.VISIT_RANGES), ("step_length", labels.STEP_RANGES))
+        for name, low, high in table
     }
-    step = {
-        f"step_length_{name}_ratio": labels.in_range(F.col("step_length"), low, high)
-        for name, low, high in labels.STEP_RANGES
-    }
-    ranges = {**visit, **step}
     counts = sessions.agg(
         F.count(F.lit(1)).alias("session_count"),
-        *[F.count_if(condition).alias(name) for name, condition in ranges.items()],
+        *[F.expr(f"count_if({condition})").alias(name) for name, condition in ranges.items()],
     )
     return counts.select(
-        "session_count",
-        *[ratio2(F.col(name), F.col("session_count")).alias(name) for name in ranges],
+        "session_count", *[ratio2(name, "session_count").alias(name) for name in ranges]
     )
 
 
@@ -186,13 +181,13 @@ def extract_report(actions: DataFrame, picked: DataFrame) -> DataFrame:
 
 def visit_buckets(sessions: DataFrame) -> DataFrame:
     return sessions.select(
-        "session_id", "visit_length", labels.visit_bucket(F.col("visit_length")).alias("bucket")
+        "session_id", "visit_length", labels.visit_bucket("visit_length").alias("bucket")
     )
 
 
 def step_buckets(sessions: DataFrame) -> DataFrame:
     return sessions.select(
-        "session_id", "step_length", labels.step_bucket(F.col("step_length")).alias("bucket")
+        "session_id", "step_length", labels.step_bucket("step_length").alias("bucket")
     )
 
 

@@ -51,19 +51,19 @@ _REGISTRY: dict[str, Query] = {}
 
 
 def edge(df: DataFrame) -> DataFrame:
-    def convert(field: T.StructField):
-        column, kind = F.col(field.name), field.dataType
+    def convert(field: T.StructField) -> str:
+        column, kind = f"`{field.name}`", field.dataType
         if isinstance(kind, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        elif isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
-            column = column.cast("bigint")
-        elif isinstance(kind, T.ArrayType):
-            column = F.array_join(column.cast("array<string>"), ",")
-        return column.alias(field.name)
+            return f"date_format({column}, 'yyyy-MM-dd') AS {column}"
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return f"date_format({column}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS {column}"
+        if isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
+            return f"CAST({column} AS BIGINT) AS {column}"
+        if isinstance(kind, T.ArrayType):
+            return f"array_join(CAST({column} AS ARRAY<STRING>), ',') AS {column}"
+        return column
 
-    return df.select(*[convert(field) for field in df.schema.fields])
+    return df.selectExpr(*[convert(field) for field in df.schema.fields])
 
 
 def query(function: Query) -> Query:
@@ -209,7 +209,7 @@ def cells_qualifier_eq(spark, folder):
 def cells_get(spark, folder):
     # The rows of all parts that were ever returned.
     items = readers.table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R")
-    rows = items.select("l_partkey").distinct().select(fixtures.row_key(F.col("l_partkey")).alias("row"))
+    rows = items.select("l_partkey").distinct().selectExpr(f"{fixtures.row_key('l_partkey')} AS row")
     found = cells.get_rows(fixtures.cells(spark, folder), rows, "f1", "name")
     return found.select("row", "ts", "value")
 
@@ -217,12 +217,12 @@ def cells_get(spark, folder):
 @query
 def cells_put(spark, folder):
     stored = fixtures.cells(spark, folder)
-    repriced = readers.table(spark, folder, "part").select(
-        fixtures.row_key(F.col("p_partkey")).alias("row"),
-        F.lit("f1").alias("family"),
-        F.lit("id").alias("qualifier"),
-        F.lit(5).cast("bigint").alias("ts"),
-        F.concat("p_type", F.lit("/"), F.col("p_size").cast("string")).alias("value"),
+    repriced = readers.table(spark, folder, "part").selectExpr(
+        f"{fixtures.row_key('p_partkey')} AS row",
+        "'f1' AS family",
+        "'id' AS qualifier",
+        "5L AS ts",
+        "concat(p_type, '/', p_size) AS value",
     )
     return cells.latest(cells.put(stored, repriced))
 

@@ -6,10 +6,9 @@ and column pruning still reach the parquet scans. The rules are in FIXTURES.md.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.functions import times
 from footfall.sources.readers import table
 
 # 2024-01-01 in epoch seconds, and one day.
@@ -28,24 +27,13 @@ AREAS = (
 )
 PROVINCES = ("Jiangsu", "Hubei", "Hunan", "Henan", "Hebei")
 
-ACTION_LIST_COLUMNS = (
-    "order_category_ids",
-    "order_product_ids",
-    "pay_category_ids",
-    "pay_product_ids",
-)
-
-
-def _div(left: Column, right) -> Column:
-    return F.call_function("div", left, right if isinstance(right, Column) else F.lit(right))
-
+K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
 
-def _pick(choices: tuple, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(choice) for choice in choices]), (index + 1).cast("int"))
 
-
-def _text(number: Column) -> Column:
-    return number.cast("string")
+def _pick(choices: tuple, index: str) -> str:
+    """SQL for the element of a fixed list at a computed position (from 0)."""
+    branches = [f"WHEN {i} THEN {choice!r}" for i, choice in enumerate(choices)]
+    return f"CASE {index} {' '.join(branches)} END"
 
 
 def _events(spark: SparkSession, folder: str, start: str | None, end: str | None) -> DataFrame:
@@ -63,92 +51,83 @@ def actions(
     spark: SparkSession, folder: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """User actions. ``start`` and ``end`` limit the scan to a closed date range."""
-    ts = F.col("ts").cast("timestamp")
-    k = F.get_json_object("props", "$.k").cast("int")
-    sec = _div(F.unix_micros(ts), 1_000_000) - EPOCH
-    base = _events(spark, folder, start, end).select(
+    base = _events(spark, folder, start, end).selectExpr(
         "event_id",
         "user_id",
         "event_type",
-        F.to_date("ts").alias("date"),
-        k.cast("bigint").alias("k"),
-        sec.alias("sec"),
-        _pick((1, 3, 10, 30), F.col("user_id") % 4).alias("dps"),
-        _pick((30, 300, 3000), F.col("user_id") % 3).alias("scale"),
+        "CAST(ts AS DATE) AS date",
+        f"{K} AS k",
+        f"unix_micros(CAST(ts AS TIMESTAMP)) div 1000000 - {EPOCH} AS sec",
+        f"{_pick((1, 3, 10, 30), 'user_id % 4')} AS days_per_session",
+        f"{_pick((30, 300, 3000), 'user_id % 3')} AS scale",
+    )
+    placed = base.selectExpr("*", f"(sec div {DAY}) div days_per_session AS block").selectExpr(
+        "*", f"block * days_per_session * {DAY} AS block_start"
     )
-    block = _div(_div(F.col("sec"), DAY), F.col("dps"))
-    block_start = block * F.col("dps") * DAY
-    action_sec = F.lit(EPOCH) + block_start + _div(F.col("sec") - block_start, F.col("scale"))
-    kind, number, event = F.col("event_type"), F.col("k"), F.col("event_id")
-    return base.select(
+    return placed.selectExpr(
         "event_id",
         "date",
         "user_id",
-        F.concat_ws("_", "user_id", block).alias("session_id"),
-        (number % 5).alias("page_id"),
-        F.timestamp_seconds(action_sec).alias("action_time"),
-        F.when(kind == "view", F.concat(F.lit("kw"), _text(number % 10))).alias("search_keyword"),
-        F.when(kind == "click", number % 20).alias("click_category_id"),
-        F.when(kind == "click", event % 200).alias("click_product_id"),
-        F.when(kind == "signup", F.concat_ws(",", number % 20, (number + 7) % 20)).alias(
-            "order_category_ids"
-        ),
-        F.when(kind == "signup", _text(event % 200)).alias("order_product_ids"),
-        F.when(kind == "purchase", _text(number % 20)).alias("pay_category_ids"),
-        F.when(kind == "purchase", _text(event % 200)).alias("pay_product_ids"),
-        (F.col("user_id") % 25).alias("city_id"),
+        "concat_ws('_', user_id, block) AS session_id",
+        "k % 5 AS page_id",
+        f"timestamp_seconds({EPOCH} + block_start + (sec - block_start) div scale) AS action_time",
+        "CASE event_type WHEN 'view' THEN concat('kw', k % 10) END AS search_keyword",
+        "CASE event_type WHEN 'click' THEN k % 20 END AS click_category_id",
+        "CASE event_type WHEN 'click' THEN event_id % 200 END AS click_product_id",
+        "CASE event_type WHEN 'signup' THEN concat_ws(',', k % 20, (k + 7) % 20) END AS order_category_ids",
+        "CASE event_type WHEN 'signup' THEN CAST(event_id % 200 AS STRING) END AS order_product_ids",
+        "CASE event_type WHEN 'purchase' THEN CAST(k % 20 AS STRING) END AS pay_category_ids",
+        "CASE event_type WHEN 'purchase' THEN CAST(event_id % 200 AS STRING) END AS pay_product_ids",
+        "user_id % 25 AS city_id",
     )
 
 
 def actions_raw(spark: SparkSession, folder: str) -> DataFrame:
     """The actions as untidy text: hours without zero, stray commas, empty text for missing."""
-    tidy = actions(spark, folder)
-    listed = {
-        name: F.concat(F.lit(","), F.col(name), F.lit(",")) for name in ACTION_LIST_COLUMNS
+    untidy = {
+        "date": "date_format(date, 'yyyy-MM-dd')",
+        "action_time": "date_format(action_time, 'yyyy-MM-dd H:mm:ss')",
+        "search_keyword": "concat(search_keyword, ',')",
+        "order_category_ids": "concat(',', order_category_ids, ',')",
+        "order_product_ids": "concat(',', order_product_ids, ',')",
+        "pay_category_ids": "concat(',', pay_category_ids, ',')",
+        "pay_product_ids": "concat(',', pay_product_ids, ',')",
     }
-    untidy = tidy.withColumns(
-        {
-            **listed,
-            "date": times.format_date(F.col("date")),
-            "action_time": F.date_format("action_time", "yyyy-MM-dd H:mm:ss"),
-            "search_keyword": F.concat("search_keyword", F.lit(",")),
-        }
-    )
-    return untidy.select(
-        *[F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in tidy.columns]
+    tidy = actions(spark, folder)
+    return tidy.selectExpr(
+        *[
+            f"coalesce({untidy.get(name, f'CAST({name} AS STRING)')}, '') AS {name}"
+            for name in tidy.columns
+        ]
     )
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
-    customer = table(spark, folder, "customer")
-    key = F.col("c_custkey")
-    return customer.select(
-        key.alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (F.lit(10) + (key * 7) % 60).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.concat(F.lit("city"), _text(F.col("c_nationkey"))).alias("city"),
-        F.when(key % 2 == 0, "male").otherwise("female").alias("sex"),
+    return table(spark, folder, "customer").selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "CAST(10 + (c_custkey * 7) % 60 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "concat('city', c_nationkey) AS city",
+        "CASE c_custkey % 2 WHEN 0 THEN 'male' ELSE 'female' END AS sex",
     )
 
 
 def cities(spark: SparkSession, folder: str) -> DataFrame:
-    nation = table(spark, folder, "nation")
-    return nation.select(
-        F.col("n_nationkey").cast("bigint").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        _pick(AREAS, F.col("n_nationkey") % 7).alias("area"),
+    return table(spark, folder, "nation").selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS city_id",
+        "n_name AS city_name",
+        f"{_pick(AREAS, 'n_nationkey % 7')} AS area",
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("p_partkey")
-    status = F.concat(F.lit('{"product_status": '), _text(key % 2), F.lit("}"))
-    return table(spark, folder, "part").select(
-        key.alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.when(key % 50 == 0, "broken").otherwise(status).alias("extend_info"),
+    return table(spark, folder, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        """CASE p_partkey % 50 WHEN 0 THEN 'broken'
+           ELSE concat('{"product_status": ', p_partkey % 2, '}') END AS extend_info""",
     )
 
 
@@ -160,12 +139,12 @@ def product_clicks(spark: SparkSession, folder: str) -> DataFrame:
     bought = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     )
-    return bought.select(
-        F.col("l_shipdate").alias("ts"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("c_nationkey").cast("bigint").alias("city_id"),
-        F.col("l_orderkey").alias("row_id"),
+    return bought.selectExpr(
+        "l_shipdate AS ts",
+        "o_custkey AS user_id",
+        "l_partkey AS product_id",
+        "CAST(c_nationkey AS BIGINT) AS city_id",
+        "l_orderkey AS row_id",
     )
 
 
@@ -173,125 +152,88 @@ def ad_clicks(
     spark: SparkSession, folder: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Ad clicks: every event is one."""
-    user = F.col("user_id")
-    province = _pick(PROVINCES, user % 5)
-    ts = F.col("ts").cast("timestamp")
-    return _events(spark, folder, start, end).select(
+    province = _pick(PROVINCES, "user_id % 5")
+    return _events(spark, folder, start, end).selectExpr(
         "event_id",
-        ts.alias("ts"),
-        _div(F.unix_micros(ts), 1000).alias("ts_ms"),
-        province.alias("province"),
-        F.concat(province, F.lit("-"), _text(_div(user, 5) % 2)).alias("city"),
+        "CAST(ts AS TIMESTAMP) AS ts",
+        "unix_micros(CAST(ts AS TIMESTAMP)) div 1000 AS ts_ms",
+        f"{province} AS province",
+        f"concat({province}, '-', (user_id div 5) % 2) AS city",
         "user_id",
-        (F.get_json_object("props", "$.k").cast("bigint") % 10).alias("ad_id"),
+        f"{K} % 10 AS ad_id",
     )
 
 
 def ad_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Log lines by event id. One event in ten has a field missing, one a number spoilt."""
-    clicks = ad_clicks(spark, folder)
-    event = F.col("event_id")
-    return clicks.select(
+    return ad_clicks(spark, folder).selectExpr(
         "event_id",
-        F.when(event % 10 == 3, F.concat_ws(" ", "ts_ms", "province", "city", "user_id"))
-        .when(event % 10 == 7, F.concat_ws(" ", "ts_ms", "province", "city", F.lit("x"), "ad_id"))
-        .otherwise(F.concat_ws(" ", "ts_ms", "province", "city", "user_id", "ad_id"))
-        .alias("value"),
+        """CASE event_id % 10
+           WHEN 3 THEN concat_ws(' ', ts_ms, province, city, user_id)
+           WHEN 7 THEN concat_ws(' ', ts_ms, province, city, 'x', ad_id)
+           ELSE concat_ws(' ', ts_ms, province, city, user_id, ad_id) END AS value""",
     )
 
 
-def cells(spark: SparkSession, folder: str) -> DataFrame:
-    """Wide-column cells of the parts.
+def row_key(number: str) -> str:
+    """SQL for the row key of a part number.
 
-    The row key is the part number with its digits reversed, so consecutive
-    numbers are spread over the key range and a key range is a fixed share of
-    the table at every scale.
+    The digits are reversed, so consecutive numbers are spread over the key
+    range and a key range is a fixed share of the table at every scale.
     """
-    key = F.col("p_partkey")
-
-    def cell(family: str, qualifier: str, ts: int, value: Column) -> Column:
-        return F.struct(
-            F.lit(family).alias("family"),
-            F.lit(qualifier).alias("qualifier"),
-            F.lit(ts).cast("bigint").alias("ts"),
-            value.alias("value"),
-        )
-
-    always = F.array(
-        cell("f1", "name", 1, F.col("p_name")),
-        cell("f1", "id", 1, _text(key)),
-        cell("f2", "id", 1, F.col("p_brand")),
-    )
-    renamed = F.array(cell("f1", "name", 2, F.concat("p_name", F.lit("-v2"))))
-    versions = F.when(key % 3 == 0, F.concat(always, renamed)).otherwise(always)
-    return (
-        table(spark, folder, "part")
-        .select(row_key(key).alias("row"), F.explode(versions).alias("c"))
-        .select("row", "c.*")
-    )
+    return f"concat('row', reverse(lpad(CAST({number} AS STRING), 12, '0')))"
 
 
-def row_key(number: Column) -> Column:
-    return F.concat(F.lit("row"), F.reverse(F.lpad(_text(number), 12, "0")))
+def cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide-column cells of the parts: three each, and a renamed version of every third."""
+    always = """
+        named_struct('family', 'f1', 'qualifier', 'name', 'ts', 1L, 'value', p_name),
+        named_struct('family', 'f1', 'qualifier', 'id', 'ts', 1L, 'value', CAST(p_partkey AS STRING)),
+        named_struct('family', 'f2', 'qualifier', 'id', 'ts', 1L, 'value', p_brand)"""
+    renamed = "named_struct('family', 'f1', 'qualifier', 'name', 'ts', 2L, 'value', concat(p_name, '-v2'))"
+    versions = f"CASE p_partkey % 3 WHEN 0 THEN array({always}, {renamed}) ELSE array({always}) END"
+    return table(spark, folder, "part").selectExpr(
+        f"{row_key('p_partkey')} AS row", f"inline({versions})"
+    )
 
 
 def tasks(spark: SparkSession, folder: str) -> DataFrame:
     """One saved analysis task per customer, with varying parameters; some are malformed."""
-    key = F.col("c_custkey")
-
-    def entry(name: str, *values: Column) -> Column:
-        quoted = F.concat(F.lit('"'), F.concat_ws('","', *values), F.lit('"'))
-        return F.concat(F.lit(f'"{name}":['), quoted, F.lit("]"))
-
-    def day(first: int) -> Column:
-        return F.concat(F.lit("2024-01-"), F.lpad(_text(key % 10 + first), 2, "0"))
-
-    def numbered(prefix: str, number: Column) -> Column:
-        return F.concat(F.lit(prefix), _text(number))
-
-    # concat_ws leaves NULL entries out, so a `when` without `otherwise` is an absent parameter.
-    body = F.concat_ws(
-        ",",
-        entry("startDate", day(1)),
-        entry("endDate", day(20)),
-        F.when(key % 3 != 0, entry("startAge", _text(key % 30 + 10))),
-        F.when(key % 3 != 0, entry("endAge", _text(key % 30 + 40))),
-        F.when(key % 2 == 0, entry("professionals", F.concat_ws(",", "c_mktsegment", F.lit("BUILDING")))),
-        F.when(key % 5 == 1, entry("cities", numbered("city", F.col("c_nationkey")))),
-        F.when(key % 7 < 3, entry("sex", F.lit("male"), F.lit("female"))),
-        F.when(
-            key % 4 == 1,
-            entry("keywords", F.concat_ws(",", numbered("kw", key % 10), numbered("kw", (key + 3) % 10))),
-        ),
-        F.when(key % 6 == 5, entry("categoryIds", F.concat_ws(",", key % 20, (key + 4) % 20, (key + 9) % 20))),
-        entry("targetPageFlow", F.lit("3,2,0,4,1")),
-    )
-    whole = F.concat(F.lit("{"), body, F.lit("}"))
-    day_one = F.lit("2024-01-01 00:00:00")
-    return table(spark, folder, "customer").select(
-        key.alias("task_id"),
-        F.concat(F.lit("task "), _text(key)).alias("task_name"),
-        day_one.alias("create_time"),
-        day_one.alias("start_time"),
-        day_one.alias("finish_time"),
-        F.lit("session").alias("task_type"),
-        F.lit("ready").alias("task_status"),
-        F.when(key % 50 == 0, "broken").otherwise(whole).alias("task_param"),
+    # concat_ws leaves NULL entries out: a CASE without ELSE is an absent parameter.
+    whole = """concat('{', concat_ws(',',
+        concat('"startDate":["2024-01-', lpad(CAST(c_custkey % 10 + 1 AS STRING), 2, '0'), '"]'),
+        concat('"endDate":["2024-01-', lpad(CAST(c_custkey % 10 + 20 AS STRING), 2, '0'), '"]'),
+        CASE WHEN c_custkey % 3 <> 0 THEN concat('"startAge":["', c_custkey % 30 + 10, '"]') END,
+        CASE WHEN c_custkey % 3 <> 0 THEN concat('"endAge":["', c_custkey % 30 + 40, '"]') END,
+        CASE WHEN c_custkey % 2 = 0 THEN concat('"professionals":["', c_mktsegment, ',BUILDING"]') END,
+        CASE WHEN c_custkey % 5 = 1 THEN concat('"cities":["city', c_nationkey, '"]') END,
+        CASE WHEN c_custkey % 7 < 3 THEN '"sex":["male","female"]' END,
+        CASE WHEN c_custkey % 4 = 1
+          THEN concat('"keywords":["kw', c_custkey % 10, ',kw', (c_custkey + 3) % 10, '"]') END,
+        CASE WHEN c_custkey % 6 = 5
+          THEN concat('"categoryIds":["',
+            concat_ws(',', c_custkey % 20, (c_custkey + 4) % 20, (c_custkey + 9) % 20), '"]') END,
+        '"targetPageFlow":["3,2,0,4,1"]'), '}')"""
+    return table(spark, folder, "customer").selectExpr(
+        "c_custkey AS task_id",
+        "concat('task ', c_custkey) AS task_name",
+        "'2024-01-01 00:00:00' AS create_time",
+        "'2024-01-01 00:00:00' AS start_time",
+        "'2024-01-01 00:00:00' AS finish_time",
+        "'session' AS task_type",
+        "'ready' AS task_status",
+        f"CASE c_custkey % 50 WHEN 0 THEN 'broken' ELSE {whole} END AS task_param",
     )
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
     """Every event as an old ``name=value|name=value`` record and a joined key."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    keywords = F.when(F.col("event_type") == "view", F.concat(F.lit("kw"), _text(k % 10))).otherwise("")
-    record = F.concat(
-        F.lit("sessionid="), _text(F.col("event_id")),
-        F.lit("|searchKeywords="), keywords,
-        F.lit("|clickCategoryIds="), F.concat_ws(",", k % 20, (k + 7) % 20),
-        F.lit("|age="), _text(F.col("user_id") % 60),
-    )
-    return table(spark, folder, "events").select(
+    events = table(spark, folder, "events").selectExpr("*", f"{K} AS k")
+    return events.selectExpr(
         "event_id",
-        record.alias("record"),
-        F.concat_ws("_", times.date_key(F.col("ts")), "user_id", k % 10).alias("joined_key"),
+        """concat('sessionid=', event_id,
+             '|searchKeywords=', CASE event_type WHEN 'view' THEN concat('kw', k % 10) ELSE '' END,
+             '|clickCategoryIds=', concat_ws(',', k % 20, (k + 7) % 20),
+             '|age=', user_id % 60) AS record""",
+        "concat_ws('_', date_format(ts, 'yyyyMMdd'), user_id, k % 10) AS joined_key",
     )

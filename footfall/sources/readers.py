@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.times import TIME_IN
+from footfall.sources.schemas import STORED
 
 # Separator and missing-value word of the text exports.
 FIELD_SEPARATOR = "\x01"
@@ -13,8 +14,9 @@ MISSING = "null"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A stored table ``folder/name.parquet``."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A stored table ``folder/name.parquet``. Known schemas are not inferred from the files."""
+    reader = spark.read.schema(STORED[name]) if name in STORED else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def delimited_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
