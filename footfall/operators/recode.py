@@ -28,8 +28,8 @@ def normalize_actions(raw: DataFrame) -> DataFrame:
 
     return raw.select(
         number("event_id"),
-        number("user_id"),
         times.parse_date(F.col("date")).alias("date"),
+        number("user_id"),
         text.null_if_empty(F.col("session_id")).alias("session_id"),
         number("page_id"),
         times.parse_time(full_time).alias("action_time"),
