@@ -29,11 +29,8 @@ def session_report(
     the actions are rolled up and joined once, and a lost executor costs no
     recomputation of either.
     """
-    spark = actions.sparkSession
-    sessions.session_filter(actions, users, criteria).write.parquet(f"{folder}/passing_sessions")
-    passing = spark.read.parquet(f"{folder}/passing_sessions")
-    sessions.session_detail(actions, passing).write.parquet(f"{folder}/session_detail")
-    detail = spark.read.parquet(f"{folder}/session_detail")
+    passing = _stored(sessions.session_filter(actions, users, criteria), f"{folder}/passing_sessions")
+    detail = _stored(sessions.session_detail(actions, passing), f"{folder}/session_detail")
 
     top_categories = sessions.top10_category(sessions.category_counts(detail))
     picked = sessions.session_random_extract(passing, per_day)
@@ -44,3 +41,9 @@ def session_report(
         top10_session=sessions.top10_session(detail, top_categories),
         random_extract=sessions.extract_report(detail, picked),
     )
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a table and read it back; its real size then decides how it is joined."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ counts come from streaming state and are absolute, so replaying is harmless.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,9 +47,37 @@ def current_groups(log: DataFrame, group: Sequence[str]) -> DataFrame:
     return merges.newest_groups(log, group, VERSION)
 
 
-def before(log: DataFrame, batch_id: int) -> DataFrame:
-    """Rows of earlier batches only, so that a replayed batch sees what its first run saw."""
-    return log.where(F.col(VERSION) < batch_id)
+def fold_start(batch_id: int, fold_every: int) -> int:
+    """The newest folding batch at or before ``batch_id``."""
+    return batch_id - batch_id % fold_every
+
+
+def recent(log: DataFrame, batch_id: int, fold_every: int) -> DataFrame:
+    """Rows of the batches before ``batch_id`` since the last folding batch.
+
+    ``batch_id`` is the partition column: older folders are not opened.
+    """
+    first = fold_start(max(batch_id - 1, 0), fold_every)
+    return log.where(F.col(VERSION).between(first, batch_id - 1))
+
+
+def write_folding(
+    changed: DataFrame,
+    folder: str,
+    schema: str,
+    batch_id: int,
+    fold_every: int,
+    fold: Callable[[DataFrame, DataFrame], DataFrame],
+) -> None:
+    """Write a batch; every ``fold_every`` batches write ``fold(recent rows, changed)`` instead.
+
+    A job that needs its own earlier rows then reads at most ``fold_every``
+    batches, however long it has been running.
+    """
+    if batch_id > 0 and batch_id % fold_every == 0:
+        log = read_log(changed.sparkSession, folder, schema)
+        changed = fold(recent(log, batch_id, fold_every), changed)
+    write_batch(changed, folder, batch_id)
 
 
 def compact(

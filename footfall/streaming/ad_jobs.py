@@ -8,8 +8,10 @@ keys it changed, with their absolute counts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +30,8 @@ BLACKLIST = "user_id BIGINT"
 CLICKS = "province STRING, city STRING, user_id BIGINT, ad_id BIGINT, ts TIMESTAMP"
 
 WATERMARK = "1 hour"
+# Batches between two that carry earlier rows over: bounds what a batch reads back.
+FOLD_EVERY = 100
 
 OnBatch = Callable[[DataFrame, int], None]
 
@@ -101,21 +105,25 @@ def start_blacklist(
     trigger: dict,
     threshold: int = ads.BLACKLIST_THRESHOLD,
     watermark: str = WATERMARK,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
-    """Users that reach the daily threshold, each written once, in the batch they reach it.
+    """Users that reach the daily threshold, added in the batch in which they reach it.
 
     The streaming state is the table of daily counts; no count is looked up
-    per row.
+    per row. Every ``fold_every`` batches the log gets the whole list again.
     """
     spark = lines.sparkSession
     counts = _counts(lines, "1 day", ["user_id", "ad_id"], watermark)
     batch_log.open_log(spark, out, BLACKLIST)
 
+    def fold(known: DataFrame, new: DataFrame) -> DataFrame:
+        return known.select("user_id").unionByName(new).distinct()
+
     def on_batch(changed: DataFrame, batch_id: int) -> None:
         log = batch_log.read_log(changed.sparkSession, out, BLACKLIST)
-        known = batch_log.before(log, batch_id).select("user_id")
-        reached = ads.blacklist_users(changed, threshold)
-        batch_log.write_batch(ads.blacklist_filter(reached, known), out, batch_id)
+        known = batch_log.recent(log, batch_id, fold_every)
+        new = ads.blacklist_filter(ads.blacklist_users(changed, threshold), known)
+        batch_log.write_folding(new, out, BLACKLIST, batch_id, fold_every, fold)
 
     return _start(counts, on_batch, checkpoint, "update", trigger)
 
@@ -154,28 +162,38 @@ def start_province_top3(
     trigger: dict,
     watermark: str = WATERMARK,
     n: int = 3,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Top ads per (day, province), replaced whenever a group's counts change.
 
-    A batch logs its changed counts, then ranks only the groups it touched.
-    The counts of those groups are read from the days the batch touched: few,
-    as the watermark closes older days.
+    A batch logs its changed counts, then ranks only the groups it touched,
+    from their counts since the last folding batch. A folding batch carries
+    over the counts of all days the watermark may still leave open.
     """
     spark = lines.sparkSession
     keys = ["province", "ad_id"]
     counts = _counts(lines, "1 day", keys, watermark).select(_day(F.col("start")), *keys, "click_count")
     batch_log.open_log(spark, counts_out, PROVINCE)
     batch_log.open_log(spark, out, PROVINCE)
+    open_days = math.ceil(pd.Timedelta(watermark) / pd.Timedelta(days=1)) + 1
 
     def on_batch(changed: DataFrame, batch_id: int) -> None:
-        batch_log.write_batch(changed, counts_out, batch_id)
+        def fold(earlier: DataFrame, new: DataFrame) -> DataFrame:
+            last_day = earlier.agg(F.max("date")).first()[0]
+            first_open = F.date_sub(F.lit(last_day).cast("date"), open_days)
+            rows = earlier.where(F.col("date") >= first_open).unionByName(
+                new.withColumn(batch_log.VERSION, F.lit(batch_id).cast("bigint"))
+            )
+            return batch_log.current(rows, PROVINCE_KEYS)
+
+        batch_log.write_folding(changed, counts_out, PROVINCE, batch_id, fold_every, fold)
         log = batch_log.read_log(changed.sparkSession, counts_out, PROVINCE)
-        mine = log.where(F.col(batch_log.VERSION) == batch_id)
-        first, last = mine.agg(F.min("date"), F.max("date")).first()
-        touched = mine.select("date", "province").distinct()
-        seen = log.where(F.col(batch_log.VERSION) <= batch_id)
-        days = seen.where(F.col("date").between(F.lit(first), F.lit(last)))
-        groups = days.join(touched, ["date", "province"], "left_semi")
+        version = F.col(batch_log.VERSION)
+        touched = log.where(version == batch_id).select("date", "province").distinct()
+        since_fold = log.where(
+            version.between(batch_log.fold_start(batch_id, fold_every), batch_id)
+        )
+        groups = since_fold.join(touched, ["date", "province"], "left_semi")
         ranked = ads.province_top3(batch_log.current(groups, PROVINCE_KEYS), n)
         batch_log.write_batch(ranked, out, batch_id)
 

@@ -113,7 +113,9 @@ def test_batch_log(spark):
     batch_log.write_batch(spark.createDataFrame(batches[1], schema), folder, 1)
     log = batch_log.read_log(spark, folder, schema)
     assert rows(batch_log.current(log, keys)) == [("a", 3), ("b", 2), ("c", 1)]
-    assert rows(batch_log.current(batch_log.before(log, 2), keys)) == [("a", 3), ("b", 1)]
+    assert rows(batch_log.current(batch_log.recent(log, 2, 100), keys)) == [("a", 3), ("b", 1)]
+    assert rows(batch_log.current(batch_log.recent(log, 2, 1), keys)) == [("a", 3)]
+    assert batch_log.recent(log, 0, 100).count() == 0
     into = scratch(spark, "compacted")
     batch_log.compact(spark, folder, schema, keys, into, 1)
     batch_log.write_batch(spark.createDataFrame(batches[2], schema), into, 2)

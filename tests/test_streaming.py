@@ -74,6 +74,32 @@ def test_top3_replaces_only_touched_groups(spark):
     assert sorted(top) == [("2024-01-01", "P", 1, 2), ("2024-01-01", "P", 3, 4), ("2024-01-01", "Q", 7, 1)]
 
 
+@pytest.mark.parametrize("fold_every", [1, 2, 3])
+def test_folding_batches_keep_results(spark, folder, fold_every):
+    """Results do not depend on how often a log is folded; one batch per quarter and restart."""
+    tune(spark)
+    clicks = fixtures.ad_clicks(spark, folder)
+    base = scratch(spark, "fold")
+
+    def top(lines):
+        return ad_jobs.start_province_top3(
+            lines, f"{base}/counts", f"{base}/top", f"{base}/c1", arrivals.AVAILABLE_NOW, fold_every=fold_every
+        )
+
+    arrivals.replay(clicks, top)
+    want = ads.province_top3(ads.province_ad_count(ads.ad_stat(clicks)))
+    assert rows(ad_jobs.read_province_top3(spark, f"{base}/top")) == rows(want)
+
+    def listed(lines):
+        return ad_jobs.start_blacklist(
+            lines, f"{base}/users", f"{base}/c2", arrivals.AVAILABLE_NOW, 2, fold_every=fold_every
+        )
+
+    arrivals.replay(clicks, listed)
+    want = ads.blacklist_users(ads.daily_user_ad_count(clicks), 2)
+    assert rows(ad_jobs.read_blacklist(spark, f"{base}/users")) == rows(want) != []
+
+
 def test_rejects_are_left_out_and_rows_in_the_watermark_are_counted(spark):
     def start(lines, base, checkpoint):
         return ad_jobs.start_click_trend(lines, f"{base}/out", checkpoint, arrivals.AVAILABLE_NOW)
