@@ -88,9 +88,16 @@ def ad_click_trend(clicks: DataFrame) -> DataFrame:
     return minutes.select(*minute_columns(F.col("m")), "ad_id", "click_count")
 
 
-def last_hour(clicks: DataFrame, as_of: str, minutes: int = 60) -> DataFrame:
-    """Clicks of the ``minutes`` minutes that end with the minute of ``as_of``."""
-    end = F.date_trunc("minute", F.lit(as_of).cast("timestamp")) + F.expr("INTERVAL '1' MINUTE")
+def last_minutes(clicks: DataFrame, as_of: str | None = None, minutes: int = 60) -> DataFrame:
+    """Clicks of the ``minutes`` whole minutes that end with the minute of ``as_of``.
+
+    Without ``as_of`` the latest click decides: a maximum over one column.
+    """
+    latest = F.lit(as_of).cast("timestamp")
+    if as_of is None:
+        micros = clicks.agg(F.max(F.unix_micros("ts"))).first()[0]
+        latest = F.timestamp_micros(F.lit(micros).cast("bigint"))
+    end = F.date_trunc("minute", latest) + F.make_dt_interval(mins=F.lit(1))
     start = end - F.make_dt_interval(mins=F.lit(minutes))
     return clicks.where((F.col("ts") >= start) & (F.col("ts") < end))
 

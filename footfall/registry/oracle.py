@@ -451,6 +451,11 @@ SELECT strftime(date, '%Y-%m-%d') AS date, user_id, ad_id, click_count FROM dail
         "ad_stat": f"WITH {_ADS}, s AS ({_stat('ad_clicks')}) SELECT {_STAT_OUT} FROM s",
         "province_ad_count": f"WITH {_ADS}, s AS ({_stat('ad_clicks')}), p AS ({_province('s')}) SELECT {_TOP_OUT} FROM p",
         "ad_click_trend": f"WITH {_ADS} {_TREND}",
+        "ad_click_trend_last_hour": f"WITH {_ADS} {_TREND}".replace(
+            "FROM ad_clicks GROUP",
+            """FROM ad_clicks WHERE date_trunc('minute', ts) > (
+ SELECT date_trunc('minute', max(ts)) - INTERVAL '60 minutes' FROM ad_clicks) GROUP""",
+        ),
         "blacklist_users": f"WITH {_BLACK} SELECT user_id FROM black",
         "category_counts": f"WITH {_PASSING},{_CATEGORY_COUNTS} SELECT * FROM categories",
         # windows, top lists, sets

@@ -414,6 +414,11 @@ def ad_click_trend(spark, folder):
     return ads.ad_click_trend(fixtures.ad_clicks(spark, folder))
 
 
+@query
+def ad_click_trend_last_hour(spark, folder):
+    return ads.ad_click_trend(ads.last_minutes(fixtures.ad_clicks(spark, folder)))
+
+
 @query
 def blacklist_users(spark, folder):
     return ads.blacklist_users(daily_user_ad_count(spark, folder), THRESHOLD)

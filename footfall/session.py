@@ -23,6 +23,22 @@ RUNTIME = {
 }
 
 
+def cluster_settings(total_cores: int) -> dict[str, str]:
+    """Start settings for a large cluster, for ``build(**cluster_settings(8000))``.
+
+    Shuffles start with several partitions per core and AQE merges them to the
+    advised size, so one setting serves small and very large stages. Streaming
+    state keeps the partition number of a query's first start.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(3 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    }
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME.items():

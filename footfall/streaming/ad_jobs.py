@@ -30,6 +30,9 @@ BLACKLIST = "user_id BIGINT"
 CLICKS = "province STRING, city STRING, user_id BIGINT, ad_id BIGINT, ts TIMESTAMP"
 
 WATERMARK = "1 hour"
+# Fixed value: the interval of a continuously running job.
+EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
+
 # Batches between two that carry earlier rows over: bounds what a batch reads back.
 FOLD_EVERY = 100
 
@@ -143,9 +146,8 @@ def start_blacklist_filter(
     batch_log.open_log(lines.sparkSession, out, CLICKS)
 
     def on_batch(clicks: DataFrame, batch_id: int) -> None:
-        listed = read_blacklist(clicks.sparkSession, blacklist)
-        kept = ads.blacklist_filter(clicks, listed)
-        batch_log.write_batch(kept, out, batch_id)
+        listed = batch_log.read_log(clicks.sparkSession, blacklist, BLACKLIST)
+        batch_log.write_batch(ads.blacklist_filter(clicks, listed), out, batch_id)
 
     return _start(ad_log.clicks(lines), on_batch, checkpoint, "append", trigger)
 

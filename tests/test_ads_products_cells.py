@@ -53,8 +53,11 @@ def test_sliding_counts_against_brute_force(spark):
 
 def test_last_hour_is_sixty_whole_minutes(spark):
     data = [click(1, -3600, 1, 1), click(2, -3541, 1, 1), click(3, -3540, 1, 1), click(4, 59, 1, 1), click(5, 60, 1, 1)]
-    kept = ads.last_hour(spark.createDataFrame(data, CLICKS), "2024-01-01 12:00:30")
+    df = spark.createDataFrame(data, CLICKS)
+    kept = ads.last_minutes(df, "2024-01-01 12:00:30")
     assert rows(kept.select("event_id")) == [(3,), (4,)]
+    assert rows(ads.last_minutes(df, minutes=2).select("event_id")) == [(4,), (5,)]
+    assert ads.last_minutes(df.where("event_id > 9")).count() == 0
     trend = ads.ad_click_trend(kept)
     assert [(str(r.date), r.hour, r.minute, r.click_count) for r in trend.orderBy("hour").collect()] == [
         ("2024-01-01", "11", "01", 1),
