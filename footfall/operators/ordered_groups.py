@@ -14,6 +14,7 @@ is big the plan is just the plain window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,11 +35,13 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
     return condition
 
 
-def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Left join on null-safe keys, without the right side's key columns."""
+def _attach(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool, how: str = "left"
+) -> DataFrame:
+    """Join on null-safe keys, without the right side's key columns."""
     renamed = right.withColumnsRenamed({key: f"_k_{key}" for key in keys})
     hinted = F.broadcast(renamed) if small else renamed
-    joined = left.join(hinted, _null_safe(left, renamed, keys), "left")
+    joined = left.join(hinted, _null_safe(left, renamed, keys), how)
     return joined.drop(*[f"_k_{key}" for key in keys])
 
 
@@ -79,18 +82,25 @@ def _cuts_at_or_below(cuts: Column, row: Column) -> Column:
     return F.aggregate(rounds, start, halve)["low"]
 
 
+class _Pieces(NamedTuple):
+    rows: DataFrame  # all rows with ``_piece``, NULL in groups that stay whole
+    big: DataFrame  # the rows of divided groups only, with ``_piece``
+    small: bool  # whether one row per piece is few enough to broadcast
+
+
 def _pieces(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], piece_rows: int
-) -> tuple[DataFrame | None, bool]:
-    """Rows with ``_piece`` (NULL in groups that stay whole), or None if no group is big."""
+) -> _Pieces | None:
+    """Number the pieces of big groups; None if no group is big."""
     cuts, total = _cuts(df, keys, order, piece_rows)
     if total == 0:
-        return None, True
+        return None
     small = total <= BROADCAST_ROWS
-    piece = F.when(
-        F.col("_cuts").isNotNull(), _cuts_at_or_below(F.col("_cuts"), F.struct(*order))
-    )
-    return _attach(df, cuts, keys, small).withColumn("_piece", piece).drop("_cuts"), small
+    found = _cuts_at_or_below(F.col("_cuts"), F.struct(*order))
+    marked = F.when(F.col("_cuts").isNotNull(), found)
+    rows = _attach(df, cuts, keys, small).withColumn("_piece", marked).drop("_cuts")
+    big = _attach(df, cuts, keys, small, "inner").withColumn("_piece", found).drop("_cuts")
+    return _Pieces(rows, big, small)
 
 
 def rank_in_group(
@@ -105,23 +115,22 @@ def rank_in_group(
     ``order`` are ascending columns that together are unique in a group; for a
     descending order pass a negated number.
     """
-    rows, small = _pieces(df, keys, order, piece_rows)
-    if rows is None:
+    pieces = _pieces(df, keys, order, piece_rows)
+    if pieces is None:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
 
     group_order = Window.partitionBy(*keys).orderBy("_piece")
     earlier = F.sum("_n").over(group_order.rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
-        rows.where(F.col("_piece").isNotNull())
-        .groupBy(*keys, "_piece")
+        pieces.big.groupBy(*keys, "_piece")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_offset", F.coalesce(earlier, F.lit(0)))
         .drop("_n")
     )
     window = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    ranked = rows.withColumn("_local", F.row_number().over(window))
-    ranked = _attach(ranked, offsets, [*keys, "_piece"], small)
+    ranked = pieces.rows.withColumn("_local", F.row_number().over(window))
+    ranked = _attach(ranked, offsets, [*keys, "_piece"], pieces.small)
     rank = (F.col("_local") + F.coalesce("_offset", F.lit(0))).cast("bigint")
     return ranked.withColumn(name, rank).drop("_piece", "_local", "_offset")
 
@@ -138,22 +147,21 @@ def lag_in_group(
     NULL in a group's first row. ``order`` as in :func:`rank_in_group`.
     """
     packed = F.struct(*[F.col(source).alias(new) for new, source in values.items()])
-    rows, small = _pieces(df, keys, order, piece_rows)
-    if rows is None:
+    pieces = _pieces(df, keys, order, piece_rows)
+    if pieces is None:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(src).over(window) for new, src in values.items()})
 
     group_order = Window.partitionBy(*keys).orderBy("_piece")
     borders = (
-        rows.where(F.col("_piece").isNotNull())
-        .groupBy(*keys, "_piece")
+        pieces.big.groupBy(*keys, "_piece")
         .agg(F.max_by(packed, F.struct(*order)).alias("_last"))
         .withColumn("_border", F.lag("_last").over(group_order))
         .drop("_last")
     )
     window = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    lagged = rows.withColumn("_previous", F.lag(packed).over(window))
-    lagged = _attach(lagged, borders, [*keys, "_piece"], small)
+    lagged = pieces.rows.withColumn("_previous", F.lag(packed).over(window))
+    lagged = _attach(lagged, borders, [*keys, "_piece"], pieces.small)
     previous = F.coalesce("_previous", "_border")
     added = {new: previous[new] for new in values}
     return lagged.withColumns(added).drop("_piece", "_previous", "_border")

@@ -27,8 +27,9 @@ def cluster_settings(total_cores: int) -> dict[str, str]:
     """Start settings for a large cluster, for ``build(**cluster_settings(8000))``.
 
     Shuffles start with several partitions per core and AQE merges them to the
-    advised size, so one setting serves small and very large stages. Streaming
-    state keeps the partition number of a query's first start.
+    advised size, so one setting serves small and very large stages. A streaming
+    query keeps the partition number of its first start and is not merged: give
+    the session of a stream a lower ``spark.sql.shuffle.partitions``.
     """
     return {
         "spark.sql.shuffle.partitions": str(3 * total_cores),
@@ -63,7 +64,7 @@ def shared_folder(spark: SparkSession) -> str:
     and executors share one disk, a temporary folder is made when none is set.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
     if not context.master.startswith("local"):

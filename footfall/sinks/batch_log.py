@@ -25,7 +25,17 @@ def open_log(spark: SparkSession, folder: str, schema: str) -> str:
     return folder
 
 
-def write_batch(changed: DataFrame, folder: str, batch_id: int) -> None:
+def write_batch(
+    changed: DataFrame, folder: str, batch_id: int, files: int | None = None
+) -> None:
+    """Write one batch.
+
+    A stateful stage has one task per state partition, and AQE does not merge
+    them. ``files`` gathers the few changed rows into that many files, by a
+    hash of the row, so that a retried task sends every row to the same place.
+    """
+    if files is not None:
+        changed = changed.repartition(files, *changed.columns)
     changed.write.mode("overwrite").parquet(f"{folder}/{VERSION}={batch_id}")
 
 
@@ -68,6 +78,7 @@ def write_folding(
     batch_id: int,
     fold_every: int,
     fold: Callable[[DataFrame, DataFrame], DataFrame],
+    files: int | None = None,
 ) -> None:
     """Write a batch; every ``fold_every`` batches write ``fold(recent rows, changed)`` instead.
 
@@ -77,7 +88,7 @@ def write_folding(
     if batch_id > 0 and batch_id % fold_every == 0:
         log = read_log(changed.sparkSession, folder, schema)
         changed = fold(recent(log, batch_id, fold_every), changed)
-    write_batch(changed, folder, batch_id)
+    write_batch(changed, folder, batch_id, files)
 
 
 def compact(

@@ -35,6 +35,8 @@ EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
 
 # Batches between two that carry earlier rows over: bounds what a batch reads back.
 FOLD_EVERY = 100
+# Files per batch of a log.
+FILES = 16
 
 OnBatch = Callable[[DataFrame, int], None]
 
@@ -72,7 +74,7 @@ def start_ad_stat(
     counts = _counts(lines, "1 day", keys, watermark).select(_day(F.col("start")), *keys, "click_count")
     batch_log.open_log(lines.sparkSession, out, AD_STAT)
     return _start(
-        counts, lambda df, n: batch_log.write_batch(df, out, n), checkpoint, "update", trigger
+        counts, lambda df, n: batch_log.write_batch(df, out, n, FILES), checkpoint, "update", trigger
     )
 
 
@@ -93,7 +95,7 @@ def start_click_trend(
     )
     batch_log.open_log(lines.sparkSession, out, TREND)
     return _start(
-        counts, lambda df, n: batch_log.write_batch(df, out, n), checkpoint, "update", trigger
+        counts, lambda df, n: batch_log.write_batch(df, out, n, FILES), checkpoint, "update", trigger
     )
 
 
@@ -126,7 +128,7 @@ def start_blacklist(
         log = batch_log.read_log(changed.sparkSession, out, BLACKLIST)
         known = batch_log.recent(log, batch_id, fold_every)
         new = ads.blacklist_filter(ads.blacklist_users(changed, threshold), known)
-        batch_log.write_folding(new, out, BLACKLIST, batch_id, fold_every, fold)
+        batch_log.write_folding(new, out, BLACKLIST, batch_id, fold_every, fold, FILES)
 
     return _start(counts, on_batch, checkpoint, "update", trigger)
 
@@ -188,7 +190,9 @@ def start_province_top3(
             )
             return batch_log.current(rows, PROVINCE_KEYS)
 
-        batch_log.write_folding(changed, counts_out, PROVINCE, batch_id, fold_every, fold)
+        batch_log.write_folding(
+            changed, counts_out, PROVINCE, batch_id, fold_every, fold, FILES
+        )
         log = batch_log.read_log(changed.sparkSession, counts_out, PROVINCE)
         version = F.col(batch_log.VERSION)
         touched = log.where(version == batch_id).select("date", "province").distinct()
