@@ -28,8 +28,8 @@ def cluster_settings(total_cores: int) -> dict[str, str]:
 
     Shuffles start with several partitions per core and AQE merges them to the
     advised size, so one setting serves small and very large stages. A streaming
-    query keeps the partition number of its first start and is not merged: give
-    the session of a stream a lower ``spark.sql.shuffle.partitions``.
+    query keeps the partition number of its first start and is not merged: see
+    :func:`for_streams`.
     """
     return {
         "spark.sql.shuffle.partitions": str(3 * total_cores),
@@ -47,6 +47,19 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def for_streams(spark: SparkSession) -> SparkSession:
+    """A session of its own for streaming queries, on the same cluster.
+
+    Every state partition costs a task and a commit per batch, whatever it
+    holds, so a stream gets at most one per core; batch jobs keep their number.
+    """
+    streams = tune(spark.newSession())
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    streams.conf.set("spark.sql.shuffle.partitions", str(min(wanted, cores)))
+    return streams
+
+
 def build(master: str | None = None, app: str = "footfall", **conf: str) -> SparkSession:
     """Create (or fetch) a tuned session; more settings as ``build(**{"spark.x.y": "z"})``."""
     builder = SparkSession.builder.appName(app)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from footfall.session import scratch
+from footfall.session import for_streams, scratch
 from footfall.sources import ad_log
 from footfall.sources.readers import file_lines
 
@@ -43,11 +43,12 @@ def replay(
 ) -> None:
     """Write the slices in the given order and run the query after each one."""
     spark = clicks.sparkSession
+    streams = for_streams(spark)
     inbox = scratch(spark, "inbox")
     parts = slices(clicks, len(order))
     for i in order:
         ad_log.lines(parts[i]).write.text(f"{inbox}/slice-{i}")
-        query = start(file_lines(spark, f"{inbox}/*"))
+        query = start(file_lines(streams, f"{inbox}/*"))
         if not query.awaitTermination(TIMEOUT_SECONDS):
             query.stop()
             raise TimeoutError("the streaming query did not finish")

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import recode
 from footfall.operators.criteria import Criteria
-from footfall.session import scratch, shared_folder
+from footfall.session import for_streams, scratch, shared_folder
 from footfall.sinks import batch_log, writers
 from footfall.sources import ad_log, fixtures, readers, tasks
 from footfall.sources.schemas import ACTIONS_WITH_ID
@@ -17,6 +17,16 @@ def test_scratch_lies_in_the_configured_folder_and_is_new(spark):
     assert first.startswith(folder) and first != second
 
 
+def test_streams_get_a_session_of_their_own(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    streams = for_streams(spark)
+    assert streams.conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
+    assert streams.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_date_range_is_required(spark, folder):
     actions = fixtures.actions(spark, folder)
     with pytest.raises(ValueError):
