@@ -4,9 +4,14 @@ As in relative Lempel-Ziv parsing, a document is factored against an index of th
 the whole collection. The index is cut into blocks by content: every window of ``WINDOW`` words has
 an anchor, the smallest hash of its ``SEED``-word strings, and equal windows have equal anchors,
 so a window can only have a source in its anchor's block. Blocks with one occurrence hold no
-source and are skipped. In the others every window is looked up with its first occurrence; a
-factor runs on while window and source move together. Where a factor ends, the windows across
-the boundary are looked up like all others, so another source there starts its own factor.
+source and are skipped. In the others the windows of each occurrence, as one row of hashes, are
+looked up in the order of the documents; a factor runs on while window and source move together.
+Where a factor ends, the windows across the boundary are looked up like all others, so another
+source there starts its own factor.
+
+A block can hold a large share of all text (a passage that every document quotes). So blocks are
+first resolved in ``SALTS`` parts each; a window that is a copy inside its part is settled, and
+at most one for each part goes on to the block as a whole.
 """
 
 from __future__ import annotations
@@ -19,17 +24,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import bitmap, in_bitmap, mix, owners, pieces, record, signed, split_words, window_hashes, word_hashes
+from footfall.llm.common import bitmap, in_bitmap, owners, pieces, record, signed, split_words, stored, window_hashes, word_hashes
 
 WINDOW = 20
 SEED = 8
+SALTS = 32
 FILTER_BITS = 26  # an 8 MB set of anchors; beyond its capacity more windows are looked up in vain
 
 _ANCHORS = pa.schema([("anchor", pa.int64()), ("n", pa.int64())])
-_WINDOWS = pa.schema([("w", pa.int64()), ("w2", pa.int32()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("pos", pa.int32())])
-_FACTORS = pa.schema([
-    ("doc_id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("source_id", pa.int64()), ("source_start", pa.int32()),
+_OCCURRENCES = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int32()), ("start", pa.int32()), ("hashes", pa.binary())])
+_RESOLVED = pa.schema([
+    ("anchor", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int32()), ("start", pa.int32()), ("words", pa.int32()),
+    ("hashes", pa.binary()), ("source_id", pa.int64()), ("source_start", pa.int32()),
 ])
+_RESOLVED_SQL = "anchor long, doc_id long, tie int, start int, words int, hashes binary, source_id long, source_start int"
+_BYTES = 6  # of a window's hash in a row, beside the 64 bits of its anchor
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string())])
 
 
@@ -55,13 +64,101 @@ def _windows(data: np.ndarray, offsets: np.ndarray, size: int, seed: int):
     return words, pointers, first, text[first], anchor, place
 
 
+def _packed(hashes: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Runs of hashes, laid end to end, as one binary value for each run."""
+    raw = np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :_BYTES])
+    ends = np.concatenate([[0], np.cumsum(sizes * _BYTES)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw.tobytes())])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].reshape(-1, _BYTES)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :_BYTES] = raw
+    return wide.view(np.uint64).ravel(), np.diff(ends) // _BYTES
+
+
+class _Earlier:
+    """The first occurrences met so far in the block that a batch may go on with."""
+
+    def __init__(self):
+        self.key: tuple | None = None
+        self.hashes = np.empty(0, np.uint64)
+        self.places = np.empty((0, 4), np.int64)  # has id, id, tie, word
+
+
+def _resolve(batches: Iterator[pa.RecordBatch], size: int, survivors: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (anchor, salt, place) -> factors, and the runs of windows without an earlier one (if wanted)."""
+    held = _Earlier()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        anchor, salt = batch.column("anchor").to_numpy(), batch.column("salt").to_numpy()
+        group = np.concatenate([[0], np.cumsum((np.diff(anchor) != 0) | (np.diff(salt) != 0))])
+        hashes, sizes = _unpacked(batch.column("hashes"))
+        ids = batch.column("doc_id")
+        place = np.stack([
+            np.asarray(ids.is_valid()).astype(np.int64), ids.fill_null(0).to_numpy(), batch.column("tie").to_numpy(),
+            batch.column("start").to_numpy().astype(np.int64),
+        ], axis=1)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        inner = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = place[row]
+        at[:, 3] += inner
+        block = group[row]
+        old = len(held.hashes) if held.key == (anchor[0], salt[0]) else 0
+        if old:
+            hashes, at = np.concatenate([held.hashes, hashes]), np.concatenate([held.places, at])
+            block = np.concatenate([np.zeros(old, np.int64), block])
+            row, inner = np.concatenate([np.full(old, -1), row]), np.concatenate([np.full(old, -1), inner])
+        order = np.lexsort((hashes, block))  # stable: equal windows stay in the order of their places
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(hashes[order]) != 0) | (np.diff(block[order]) != 0)
+        source = np.empty(len(order), np.int64)
+        source[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        first = source == np.arange(len(order))
+        # The same row twice (repeated documents) is not earlier than itself.
+        first |= (at == at[source]).all(axis=1)
+        last = (source == np.arange(len(order))) & (block == block[-1])
+        held.key, held.hashes, held.places = (anchor[-1], salt[-1]), hashes[last], at[last]
+
+        move = at[source, 3] - at[:, 3]
+        from_ = at[source]
+        cut = np.ones(len(row), bool)
+        cut[1:] = (np.diff(row) != 0) | (np.diff(first) != 0)
+        cut[1:] |= ~first[1:] & ((np.diff(move) != 0) | (from_[1:, :3] != from_[:-1, :3]).any(axis=1))
+        begins = np.flatnonzero(cut)
+        lengths = np.diff(begins, append=len(row))
+        for copied in (True, False) if survivors else (True,):
+            pick = begins[(row[begins] >= 0) & (first[begins] != copied)]
+            many = lengths[(row[begins] >= 0) & (first[begins] != copied)]
+            if not len(pick):
+                continue
+            rows, none = pa.array(row[pick]), pa.nulls(len(pick), pa.int64())
+            own = {"doc_id": ids.take(rows), "tie": batch.column("tie").take(rows), "start": at[pick, 3].astype(np.int32)}
+            if copied:
+                origin = pa.array(from_[pick, 1], mask=from_[pick, 0] == 0)
+                yield record(
+                    _RESOLVED, anchor=none, **own, words=(many + size - 1).astype(np.int32), hashes=pa.nulls(len(pick), pa.binary()),
+                    source_id=origin, source_start=from_[pick, 3].astype(np.int32),
+                )
+            else:
+                inside = np.repeat(pick, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                yield record(
+                    _RESOLVED, anchor=anchor[row[pick]], **own, words=pa.nulls(len(pick), pa.int32()), hashes=_packed(hashes[inside], many),
+                    source_id=none, source_start=pa.nulls(len(pick), pa.int32()),
+                )
+
+
 def factors(docs: DataFrame, size: int = WINDOW, seed: int = SEED) -> DataFrame:
     """doc_id, tie, start, words, source_id, source_start: stretches whose every window of ``size`` words starts earlier at the source.
 
     Earlier is a smaller (doc_id, hash of the text ``tie``), or the same and an earlier start; a
-    null doc_id comes first. Windows are told apart by 96 bits of hash.
+    null doc_id comes first. ``tie`` matters only where rows share an id. Windows are told apart by the 64 bits of their anchor and 48 of their own.
     """
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    keyed = docs.select("doc_id", "text", F.hash("text").alias("tie"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,44 +175,28 @@ def factors(docs: DataFrame, size: int = WINDOW, seed: int = SEED) -> DataFrame:
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in pieces(batch.column("text")):
-                words, pointers, first, text, anchor, _ = _windows(data, offsets, size, seed)
-                if not len(first):
-                    continue
+                words, pointers, first, text, anchor, place = _windows(data, offsets, size, seed)
                 hit = in_bitmap(shared.value, anchor, FILTER_BITS)
-                first, text = first[hit], text[hit]
-                one = window_hashes(words, size)[first]
-                two = window_hashes(mix(words ^ np.uint64(0x5851F42D4C957F2D)), size)[first]
-                ids, ties = batch.column("doc_id")[row:end], batch.column("tie")[row:end]
+                if not hit.any():
+                    continue
+                first, text, anchor, place = first[hit], text[hit], anchor[hit], place[hit]
+                begins = np.flatnonzero((np.diff(place, prepend=-1) != 0) | (np.diff(first, prepend=-2) != 1))
+                pick = pa.array(text[begins])
                 yield record(
-                    _WINDOWS, w=signed(one), w2=(two >> np.uint64(32)).astype(np.uint32).view(np.int32), doc_id=ids.take(pa.array(text)),
-                    tie=ties.take(pa.array(text)), pos=(first - pointers[text]).astype(np.int32),
+                    _OCCURRENCES, anchor=signed(anchor[begins]), doc_id=batch.column("doc_id")[row:end].take(pick),
+                    tie=batch.column("tie")[row:end].take(pick), start=(first - pointers[text])[begins].astype(np.int32),
+                    hashes=_packed(window_hashes(words, size)[first], np.diff(begins, append=len(first))),
                 )
 
-    windows = keyed.mapInArrow(look, "w long, w2 int, doc_id long, tie long, pos int")
-    place = F.struct("doc_id", "tie", "pos")
-    sources = windows.groupBy("w", "w2").agg(F.min(place).alias("source"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    copies = windows.join(sources, ["w", "w2"]).where(place > F.col("source"))
-    runs = copies.groupBy("doc_id", "tie", F.col("source.doc_id").alias("source_id"), "source.tie", (F.col("source.pos") - F.col("pos")).alias("shift"))
-    runs = runs.agg(F.sort_array(F.collect_list("pos")).alias("at")).toDF("doc_id", "tie", "source_id", "source_tie", "shift", "at")
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("at")
-            at, ends = lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))
-            new = np.ones(len(at), bool)
-            new[1:] = np.diff(at) != 1
-            new[ends[:-1]] = True
-            start = np.flatnonzero(new)
-            row = np.searchsorted(ends, start, side="right")
-            length = np.diff(start, append=len(at)) + size - 1
-            pick = pa.array(row)
-            shift = batch.column("shift").to_numpy()[row]
-            yield record(
-                _FACTORS, doc_id=batch.column("doc_id").take(pick), tie=batch.column("tie").take(pick), start=at[start], words=length.astype(np.int32),
-                source_id=batch.column("source_id").take(pick), source_start=(at[start] + shift).astype(np.int32),
-            )
-
-    return runs.mapInArrow(parse, "doc_id long, tie long, start int, words int, source_id long, source_start int")
+    order = ["anchor", "salt", "doc_id", "tie", "start"]
+    columns = [*order, "hashes"]
+    met = keyed.mapInArrow(look, "anchor long, doc_id long, tie int, start int, hashes binary")
+    met = met.withColumn("salt", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(SALTS)).cast("int")).select(*columns)
+    parts = met.repartition("anchor", "salt").sortWithinPartitions(*order).mapInArrow(lambda b: _resolve(b, size, True), _RESOLVED_SQL)
+    parts = stored(parts, "factors")
+    left = parts.where("hashes is not null").withColumn("salt", F.lit(0)).select(*columns)
+    rest = left.repartition("anchor").sortWithinPartitions(*order).mapInArrow(lambda b: _resolve(b, size, False), _RESOLVED_SQL)
+    return parts.where("hashes is null").union(rest).select("doc_id", "tie", "start", "words", "source_id", "source_start")
 
 
 def remove(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -127,7 +208,7 @@ def remove(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """
     spans = factors(docs, size).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("start", "words")).alias("spans"))
     spans = spans.select(F.col("doc_id").alias("id"), F.col("tie").alias("own"), "spans")
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    keyed = docs.select("doc_id", "text", F.hash("text").alias("tie"))
     joined = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("own")), "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
