@@ -8,6 +8,7 @@ meet are verified with a banded bit-parallel edit distance.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import bitmap, in_bitmap, pieces, record, signed, stored
+from footfall.llm.common import PIECE_BYTES, bitmap, in_bitmap, pieces, record, signed, stored
 
 EDITS = 1
 MIN_CHARS = 20  # shorter lines are never duplicates
@@ -56,12 +57,28 @@ def probes(own: int, other: int, edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
+@functools.lru_cache(maxsize=1 << 14)
+def _keys(length: int, edits: int, shortest: int) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]:
+    """What a line of this length is indexed and looked up under: (start, end, seed) of the different
+    substrings to hash, and for every row its substring and its role (0 indexed, 1 looking)."""
+    rows = [((at, at + size, length << 8 | i), 0) for i, (at, size) in enumerate(segments(length, edits))]
+    for other in range(max(shortest, length - edits), length + 1):
+        rows += [((at, at + size, other << 8 | i), 1) for i, at, size in probes(length, other, edits)]
+    parts = list(dict.fromkeys(part for part, _ in rows))
+    number = {part: k for k, part in enumerate(parts)}
+    return parts, np.array([number[part] for part, _ in rows]), np.array([role for _, role in rows], np.int64)
+
+
+def bags(lines: list[str]) -> np.ndarray:
+    """For every (not empty) line 31 parities of the characters' numbers of occurrences; an edit changes two at most."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    bits = np.int64(1) << ((codes * np.uint64(0x9E3779B1) >> np.uint64(7)) % np.uint64(31)).astype(np.int64)
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    return np.bitwise_xor.reduceat(bits, np.cumsum(lengths) - lengths)
+
+
 def bag(line: str) -> int:
-    """31 parities of the characters' numbers of occurrences; an edit changes two at most."""
-    out = 0
-    for c in line:
-        out ^= 1 << (ord(c) * 0x9E3779B1 >> 7) % 31
-    return out
+    return int(bags([line])[0]) if line else 0
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -139,28 +156,34 @@ def similar(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS) -> D
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            rows: list[tuple[int, int, int]] = []
+            hashes, lines, held = [], [], 0
             for _, _, content, line in _eligible(batch, shortest):
                 h = _identity(line)[0]
                 if h in seen:
                     continue
                 if len(seen) < 1 << 20:
                     seen.add(h)
-                length, own = len(content), bag(content) << 1
-                for i, (at, size) in enumerate(segments(length, edits)):
-                    rows.append((xxhash.xxh64_intdigest(content[at : at + size], length << 8 | i), h, own))
-                for other in range(max(shortest, length - edits), length + 1):
-                    for i, at, size in probes(length, other, edits):
-                        rows.append((xxhash.xxh64_intdigest(content[at : at + size], other << 8 | i), h, own | 1))
-                if len(rows) > 100_000:
-                    yield _rows(rows)
-                    rows = []
-            if rows:
-                yield _rows(rows)
-
-    def _rows(rows):
-        keys, hashes, bags = zip(*rows, strict=True)
-        return record(_KEYS, key=signed(np.array(keys, np.uint64)), h=np.array(hashes, np.int64), bag=np.array(bags, np.int64))
+                hashes.append(h)
+                lines.append(content)
+                held += len(content)
+                if held > PIECE_BYTES:
+                    yield _rows(hashes, lines)
+                    hashes, lines, held = [], [], 0
+            if lines:
+                yield _rows(hashes, lines)
+
+    def _rows(hashes: list[int], lines: list[str]) -> pa.RecordBatch:
+        digests: list[int] = []
+        picks, roles, sizes = [], [], []
+        for content in lines:
+            parts, pick, role = _keys(len(content), edits, shortest)
+            picks.append(pick + len(digests))
+            roles.append(role)
+            sizes.append(len(role))
+            digests += [xxhash.xxh64_intdigest(content[a:b], seed) for a, b, seed in parts]
+        keys = np.array(digests, np.uint64)[np.concatenate(picks)]
+        own = np.repeat(bags(lines), sizes) << 1 | np.concatenate(roles)
+        return record(_KEYS, key=signed(keys), h=np.repeat(np.array(hashes, np.int64), sizes), bag=own)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [np.empty(0, np.int64)] * 3
