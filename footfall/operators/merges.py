@@ -16,11 +16,15 @@ from pyspark.sql import functions as F
 def upsert_replace(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], value: str = "click_count"
 ) -> DataFrame:
-    """New keys are inserted; the value of an existing key becomes the update's."""
+    """New keys are inserted; the value of an existing key becomes the update's.
+
+    A NULL update keeps the stored value. Of several updates of one key the largest value counts.
+    """
     both = target.select(*keys, value, F.lit(0).alias("_version")).unionByName(
         updates.select(*keys, value, F.lit(1).alias("_version"))
     )
-    return newest(both, keys, value, "_version")
+    order = F.when(F.col(value).isNotNull(), F.struct("_version", value))
+    return both.groupBy(*keys).agg(F.max_by(value, order).alias(value))
 
 
 def upsert_increment(
@@ -34,7 +38,7 @@ def upsert_increment(
 def replace_group(target: DataFrame, new: DataFrame, group: Sequence[str]) -> DataFrame:
     """All rows of every group present in ``new`` are exchanged for the new ones."""
     touched = new.select(*group).distinct()
-    return target.join(touched, list(group), "left_anti").unionByName(new)
+    return _matching(target, touched, group, "left_anti").unionByName(new)
 
 
 def newest(log: DataFrame, keys: Sequence[str], value: str, version: str) -> DataFrame:
@@ -45,4 +49,11 @@ def newest(log: DataFrame, keys: Sequence[str], value: str, version: str) -> Dat
 def newest_groups(log: DataFrame, group: Sequence[str], version: str) -> DataFrame:
     """Per group all rows of its highest version."""
     last = log.groupBy(*group).agg(F.max(version).alias(version))
-    return log.join(last, [*group, version], "left_semi").drop(version)
+    return _matching(log, last, [*group, version], "left_semi").drop(version)
+
+
+def _matching(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A semi or anti join in which NULL keys equal each other."""
+    renamed = wanted.select(*[F.col(key).alias(f"_k_{key}") for key in keys])
+    same = [F.col(key).eqNullSafe(F.col(f"_k_{key}")) for key in keys]
+    return rows.join(renamed, same, how)

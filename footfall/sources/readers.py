@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from footfall.functions.times import TIME_IN
 from footfall.sources.schemas import STORED
@@ -19,26 +20,46 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
+def _fields() -> Column:
+    return F.split("value", FIELD_SEPARATOR, -1)
+
+
 def delimited_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Text export with ``\\x01`` between fields and the word ``null`` for missing values."""
-    return (
-        spark.read.schema(schema)
-        .option("sep", FIELD_SEPARATOR)
-        .option("nullValue", MISSING)
-        .option("timestampFormat", TIME_IN)
-        .option("dateFormat", "yyyy-MM-dd")
-        .csv(path)
-    )
+    """Text export with ``\\x01`` between fields and the word ``null`` for missing values.
+
+    Quotes and backslashes mean nothing, empty text stays empty text, and a value that does not
+    parse is NULL. Lines with a wrong number of fields are left to :func:`rejected_text`.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    columns = StructType.fromDDL(schema).fields
+
+    def parsed(i: int, field: StructField) -> Column:
+        text = F.nullif(F.get(_fields(), F.lit(i)), F.lit(MISSING))
+        kind = field.dataType.simpleString()
+        if kind == "timestamp":
+            return F.try_to_timestamp(text, F.lit(TIME_IN))
+        return text if kind == "string" else text.try_cast(kind)
+
+    whole = lines.where(F.size(_fields()) == len(columns))
+    return whole.select(*[parsed(i, field).alias(field.name) for i, field in enumerate(columns)])
+
+
+def rejected_text(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The lines of a text export whose number of fields is not that of the schema, as ``value``."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.where(F.size(_fields()) != len(StructType.fromDDL(schema).fields))
 
 
 def write_delimited_text(df: DataFrame, path: str) -> None:
-    (
-        df.write.option("sep", FIELD_SEPARATOR)
-        .option("nullValue", MISSING)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("dateFormat", "yyyy-MM-dd")
-        .csv(path)
-    )
+    """The form :func:`delimited_text` reads. Text with a separator or a line feed, or that is ``null``, cannot be told apart."""
+
+    def written(field: StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if field.dataType.simpleString() == "timestamp":
+            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        return F.coalesce(value.cast("string"), F.lit(MISSING))
+
+    df.select(F.concat_ws(FIELD_SEPARATOR, *map(written, df.schema.fields)).alias("value")).write.option("lineSep", "\n").text(path)
 
 
 def jdbc_table(spark: SparkSession, table_name: str, **options: str) -> DataFrame:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.operators import recode
+from footfall.operators import merges, recode
 from footfall.operators.criteria import Criteria
 from footfall.session import for_streams, scratch, shared_folder
 from footfall.sinks import batch_log, writers
@@ -49,6 +49,31 @@ def test_text_round_trip(spark, folder):
     assert rows(readers.delimited_text(spark, path, ACTIONS_WITH_ID)) == rows(actions)
 
 
+def test_text_keeps_quotes_backslashes_and_empty_text(spark):
+    path, schema = scratch(spark, "odd"), "a bigint, b string, c string"
+    data = [(1, '"tea', "x"), (2, "a\\", '"'), (3, "", None), (None, 'say "hi"', "\\N"), (5, None, "")]
+    readers.write_delimited_text(spark.createDataFrame(data, schema), path)
+    assert rows(readers.delimited_text(spark, path, schema)) == rows(spark.createDataFrame(data, schema))
+    assert readers.rejected_text(spark, path, schema).count() == 0
+
+
+def test_text_with_a_wrong_number_of_fields_is_rejected(spark):
+    path, schema = scratch(spark, "short"), "a bigint, b string"
+    spark.createDataFrame([("1\x01x",), ("2",), ("3\x01y\x01z",), ("q\x01null",)], "value string").write.text(path)
+    assert sorted(readers.delimited_text(spark, path, schema).collect(), key=str) == [(1, "x"), (None, None)]
+    assert sorted(r.value for r in readers.rejected_text(spark, path, schema).collect()) == ["2", "3\x01y\x01z"]
+
+
+def test_merges_with_nulls_and_ties(spark):
+    frame = lambda data: spark.createDataFrame(data, "k string, click_count bigint")
+    got = merges.upsert_replace(frame([("a", 1), ("b", 2), (None, 3)]), frame([("a", None), ("b", 5), ("b", 4), (None, 9)]), ["k"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", 1), ("b", 5), (None, 9)], key=str)
+    got = merges.replace_group(frame([("a", 1), (None, 2)]), frame([(None, 7), (None, 8)]), ["k"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", 1), (None, 7), (None, 8)], key=str)
+    log = spark.createDataFrame([(None, 1, 0), (None, 2, 1), (None, 3, 1)], "k string, click_count bigint, v int")
+    assert sorted(map(tuple, merges.newest_groups(log, ["k"], "v").collect()), key=str) == [(None, 2), (None, 3)]
+
+
 def test_normalize_gives_the_tidy_actions(spark, folder):
     raw = fixtures.actions_raw(spark, folder)
     assert {f.dataType.simpleString() for f in raw.schema} == {"string"}
