@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions import labels
-from footfall.operators.ordered_groups import PIECE_ROWS, rank_in_group
+from footfall.operators.ordered_groups import rank_in_group
 
 # Fixed value: the surcharge rate.
 SURCHARGE = "0.05"
 
 
-def price_grade(parts: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+def price_grade(parts: DataFrame) -> DataFrame:
     """Grade of every part by its price above 900, and its price rank within the brand."""
     score = F.col("p_retailprice") - F.lit(900).cast("double")
     graded = parts.select(
@@ -23,7 +23,7 @@ def price_grade(parts: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
         (-F.col("p_retailprice")).alias("_minus_price"),
     )
     order = ["_minus_price", "part_id"]
-    return rank_in_group(graded, ["brand"], order, "rank_in_brand", piece_rows).drop("_minus_price")
+    return rank_in_group(graded, ["brand"], order, "rank_in_brand").drop("_minus_price")
 
 
 def quantity_surcharge(items: DataFrame, above: float = 25) -> DataFrame:

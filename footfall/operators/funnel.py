@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.numbers import ratio2
-from footfall.operators.ordered_groups import PIECE_ROWS, lag_in_group
+from footfall.operators.ordered_groups import lag_in_group
 
 
-def page_pairs(actions: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+def page_pairs(actions: DataFrame) -> DataFrame:
     """Every action with the page its session showed just before (NULL for the first)."""
     narrow = actions.select("session_id", "action_time", "event_id", "page_id")
     order = ["action_time", "event_id"]
-    return lag_in_group(narrow, ["session_id"], order, {"previous_page_id": "page_id"}, piece_rows)
+    return lag_in_group(narrow, ["session_id"], order, {"previous_page_id": "page_id"})
 
 
 def page_split_pv(pairs: DataFrame, flow: Sequence[int]) -> DataFrame:

@@ -1,167 +1,117 @@
-"""``row_number`` and ``lag`` over whole groups, also when one group is huge.
+"""``row_number``, ``lag`` and running totals over whole groups, also when one group is huge.
 
 A window function puts a whole group into one task. That is fine until one
-session, user or brand holds a large share of all rows. Such groups are cut
-into consecutive pieces here: the window runs per piece, and one small row per
-piece (its length or its last value) carries the result across the borders.
-Every row is kept and the result is the same as that of the plain window.
-
-Where to cut comes from a hash sample of the ordering columns. Only the
-balance of the pieces depends on the sample, never the result. When no group
-is big the plan is just the plain window.
+session, user or brand holds a large share of all rows. Here rows are dealt out
+by ranges of (group, order) instead, so a group that is larger than a part lies
+in several consecutive parts. A window runs inside each (part, group); only the
+last group of a part can go on in the next one, so one small row per part (how
+many rows that group has there, its last values and totals) carries the result
+on. Every row is kept and the result is that of the plain window.
+
+It is one plan, whatever the data: a shuffle by range, one by (part, group), and
+a broadcast of two rows per part at most. The dealt rows are a common table
+expression that holds the number of the part. Spark does not inline such an
+expression (it is not deterministic) but shuffles it once and reads that shuffle
+in both places, so rows and carried totals always agree on the parts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from typing import NamedTuple
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from footfall.session import ensure_checkpointing
+# How the totals of earlier parts are joined to a running value.
+_JOINED = {
+    "sum": "coalesce({local}, 0) + coalesce({carried}, 0)",
+    "bit_xor": "coalesce({local}, 0) ^ coalesce({carried}, 0)",
+}
 
-# About one cut per this many rows: a piece of this size sorts within one task's memory.
-PIECE_ROWS = 4_000_000
 
-# Cut points and piece summaries are broadcast up to this many, else joined by shuffle.
-BROADCAST_ROWS = 200_000
-
-
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[f"_k_{key}"])
-    return condition
-
-
-def _attach(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool, how: str = "left"
-) -> DataFrame:
-    """Join on null-safe keys, without the right side's key columns."""
-    renamed = right.withColumnsRenamed({key: f"_k_{key}" for key in keys})
-    hinted = F.broadcast(renamed) if small else renamed
-    joined = left.join(hinted, _null_safe(left, renamed, keys), how)
-    return joined.drop(*[f"_k_{key}" for key in keys])
-
-
-def _cuts(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], piece_rows: int
-) -> tuple[DataFrame, int]:
-    """Sorted cut points of every group with at least two sampled rows, and their number.
-
-    One narrow scan; about ``rows / piece_rows`` sampled rows are shuffled.
-    """
-    ensure_checkpointing(df.sparkSession)
-    sampled = df.where(F.pmod(F.xxhash64(*order), F.lit(piece_rows)) == 0)
-    cuts = (
-        sampled.groupBy(*keys)
-        .agg(F.array_sort(F.collect_set(F.struct(*order))).alias("_cuts"))
-        .where(F.size("_cuts") > 1)
-        .checkpoint()
-    )
-    total = cuts.agg(F.sum(F.size("_cuts"))).first()[0]
-    return cuts, int(total or 0)
-
-
-def _cuts_at_or_below(cuts: Column, row: Column) -> Column:
-    """How many of the sorted cut points are not above the row (binary search)."""
-
-    def halve(state: Column, _: Column) -> Column:
-        low, high = state["low"], state["high"]
-        middle = F.shiftright(low + high, 1)
-        go_right = F.get(cuts, middle) <= row
-        narrowed = F.struct(
-            F.when(go_right, middle + 1).otherwise(low).alias("low"),
-            F.when(go_right, high).otherwise(middle).alias("high"),
-        )
-        return F.when(low < high, narrowed).otherwise(state)
-
-    rounds = F.sequence(F.lit(1), F.ceil(F.log2(F.size(cuts) + 1)).cast("int") + 1)
-    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
-    return F.aggregate(rounds, start, halve)["low"]
-
-
-class _Pieces(NamedTuple):
-    rows: DataFrame  # all rows with ``_piece``, NULL in groups that stay whole
-    big: DataFrame  # the rows of divided groups only, with ``_piece``
-    small: bool  # whether one row per piece is few enough to broadcast
-
-
-def _pieces(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], piece_rows: int
-) -> _Pieces | None:
-    """Number the pieces of big groups; None if no group is big."""
-    cuts, total = _cuts(df, keys, order, piece_rows)
-    if total == 0:
-        return None
-    small = total <= BROADCAST_ROWS
-    found = _cuts_at_or_below(F.col("_cuts"), F.struct(*order))
-    marked = F.when(F.col("_cuts").isNotNull(), found)
-    rows = _attach(df, cuts, keys, small).withColumn("_piece", marked).drop("_cuts")
-    big = _attach(df, cuts, keys, small, "inner").withColumn("_piece", found).drop("_cuts")
-    return _Pieces(rows, big, small)
-
-
-def rank_in_group(
+def scan_groups(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    name: str,
-    piece_rows: int = PIECE_ROWS,
+    rank: str | None = None,
+    lags: Mapping[str, str] | None = None,
+    running: Mapping[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
-    """Add the row's number (from 1) within its group.
+    """All rows, with what the rows before them in their group say.
 
-    ``order`` are ascending columns that together are unique in a group; for a
-    descending order pass a negated number.
+    ``order`` are ascending columns (NULL first) that together are unique in a
+    group; NULL is a group like any other. ``rank`` names the row's number (from
+    1); ``lags`` maps new names to columns of the previous row (NULL in the first
+    row); ``running`` maps new names to ``("sum" | "bit_xor", column)`` over the
+    rows up to this one (NULL counts as 0).
     """
-    pieces = _pieces(df, keys, order, piece_rows)
-    if pieces is None:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-    group_order = Window.partitionBy(*keys).orderBy("_piece")
-    earlier = F.sum("_n").over(group_order.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (
-        pieces.big.groupBy(*keys, "_piece")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.coalesce(earlier, F.lit(0)))
-        .drop("_n")
+    lags, running = dict(lags or {}), dict(running or {})
+    group = ", ".join(f"`{k}`" for k in keys)
+    sequence = ", ".join(f"`{o}`" for o in order)
+    before = f"OVER (PARTITION BY _part, {group} ORDER BY {sequence})"
+    upto = before[:-1] + " ROWS UNBOUNDED PRECEDING)"
+
+    # What a row hands on: its number, its values and the totals up to it.
+    handed = [f"`{source}` AS `v{i}`" for i, source in enumerate(lags.values())]
+    handed += [f"`_total{i}` AS `t{i}`" for i in range(len(running))]
+    packed = ", ".join(["_local AS n", *handed])
+    local = [f"row_number() {before} AS _local", f"lead(1) {before} IS NULL AS _ends"]
+    local += [f"{kind}(`{source}`) {upto} AS `_total{i}`" for i, (kind, source) in enumerate(running.values())]
+    if lags:
+        previous = ", ".join(f"`{source}` AS `v{i}`" for i, source in enumerate(lags.values()))
+        local.append(f"lag(struct({previous})) {before} AS _previous")
+
+    carried = ["sum(handed.n) OVER earlier AS _n"]
+    carried += [f"{kind}(handed.`t{i}`) OVER earlier AS `_t{i}`" for i, (kind, _) in enumerate(running.values())]
+    if lags:
+        carried.append("last_value(handed, true) OVER earlier AS _border")
+    renamed = ", ".join(f"`{k}` AS `_k{i}`" for i, k in enumerate(keys))
+    names = ", ".join(f"`_k{i}`" for i in range(len(keys)))
+
+    results = [f"l.`{c}`" for c in df.columns]
+    if rank:
+        results.append(f"CAST(_local + coalesce(_n, 0) AS BIGINT) AS `{rank}`")
+    results += [
+        f"CASE WHEN _previous IS NULL THEN _border.`v{i}` ELSE _previous.`v{i}` END AS `{new}`"
+        for i, new in enumerate(lags)
+    ]
+    results += [
+        f"{_JOINED[kind].format(local=f'`_total{i}`', carried=f'`_t{i}`')} AS `{new}`"
+        for i, (new, (kind, _)) in enumerate(running.items())
+    ]
+    same = " AND ".join(f"l.`{k}` <=> c.`_k{i}`" for i, k in enumerate(keys))
+    return df.sparkSession.sql(
+        f"""
+        WITH dealt AS (
+            SELECT /*+ REPARTITION(_part, {group}) */ * FROM (SELECT *, spark_partition_id() AS _part FROM {{ranged}})
+        ), local AS (
+            SELECT *, {", ".join(local)} FROM dealt
+        ), borders AS (
+            SELECT _part,
+                   min(struct({renamed})) AS first,
+                   max_by(struct({renamed}), struct({group}, {sequence})) AS last,
+                   max_by(struct({packed}), struct({group}, {sequence})) AS handed
+            FROM local WHERE _ends GROUP BY _part
+        ), met AS (
+            SELECT _part, 0 AS goes_on, first.*, NULL AS handed FROM borders
+            UNION ALL SELECT _part, 1, last.*, handed FROM borders
+        ), carried AS (
+            SELECT _part, goes_on, {names}, {", ".join(carried)} FROM met
+            WINDOW earlier AS (PARTITION BY {names} ORDER BY _part, goes_on ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        )
+        SELECT /*+ BROADCAST(c) */ {", ".join(results)}
+        FROM local AS l LEFT JOIN (SELECT * FROM carried WHERE goes_on = 0) AS c ON l._part = c._part AND {same}
+        """,
+        ranged=df.repartitionByRange(*keys, *order),
     )
-    window = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    ranked = pieces.rows.withColumn("_local", F.row_number().over(window))
-    ranked = _attach(ranked, offsets, [*keys, "_piece"], pieces.small)
-    rank = (F.col("_local") + F.coalesce("_offset", F.lit(0))).cast("bigint")
-    return ranked.withColumn(name, rank).drop("_piece", "_local", "_offset")
+
+
+def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Add the row's number (from 1) within its group. For a descending order pass a negated number."""
+    return scan_groups(df, keys, order, rank=name)
 
 
 def lag_in_group(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    values: dict[str, str],
-    piece_rows: int = PIECE_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, str]
 ) -> DataFrame:
-    """Add, per ``new name -> column``, the column's value in the group's previous row.
-
-    NULL in a group's first row. ``order`` as in :func:`rank_in_group`.
-    """
-    packed = F.struct(*[F.col(source).alias(new) for new, source in values.items()])
-    pieces = _pieces(df, keys, order, piece_rows)
-    if pieces is None:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({new: F.lag(src).over(window) for new, src in values.items()})
-
-    group_order = Window.partitionBy(*keys).orderBy("_piece")
-    borders = (
-        pieces.big.groupBy(*keys, "_piece")
-        .agg(F.max_by(packed, F.struct(*order)).alias("_last"))
-        .withColumn("_border", F.lag("_last").over(group_order))
-        .drop("_last")
-    )
-    window = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    lagged = pieces.rows.withColumn("_previous", F.lag(packed).over(window))
-    lagged = _attach(lagged, borders, [*keys, "_piece"], pieces.small)
-    previous = F.coalesce("_previous", "_border")
-    added = {new: previous[new] for new in values}
-    return lagged.withColumns(added).drop("_piece", "_previous", "_border")
+    """Add, per ``new name -> column``, the column's value in the group's previous row."""
+    return scan_groups(df, keys, order, lags=values)

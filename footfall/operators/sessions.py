@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from footfall.functions import labels, text, times
 from footfall.functions.numbers import ratio2
 from footfall.operators.criteria import Criteria
-from footfall.operators.ordered_groups import PIECE_ROWS, lag_in_group, rank_in_group
+from footfall.operators.ordered_groups import lag_in_group, rank_in_group
 
 
 def _visit_seconds() -> Column:
@@ -91,10 +91,10 @@ def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
-def sort_actions(actions: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+def sort_actions(actions: DataFrame) -> DataFrame:
     """Number the actions of every session in time order."""
     order = ["action_time", "event_id"]
-    return rank_in_group(actions, ["session_id"], order, "action_no", piece_rows)
+    return rank_in_group(actions, ["session_id"], order, "action_no")
 
 
 def category_counts(detail: DataFrame) -> DataFrame:
@@ -191,12 +191,12 @@ def step_buckets(sessions: DataFrame) -> DataFrame:
     )
 
 
-def action_time_features(actions: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+def action_time_features(actions: DataFrame) -> DataFrame:
     """Time keys of every action and its distance to the same user's previous action."""
     stamped = actions.withColumn("time_text", times.format_time(F.col("action_time")))
     order = ["action_time", "event_id"]
     values = {"previous_time": "time_text"}
-    lagged = lag_in_group(stamped, ["user_id"], order, values, piece_rows)
+    lagged = lag_in_group(stamped, ["user_id"], order, values)
     time_text, previous = F.col("time_text"), F.col("previous_time")
     moment = times.parse_time(time_text)
     return lagged.select(

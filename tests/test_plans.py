@@ -5,10 +5,10 @@ import io
 
 import pytest
 
-import __spark_entry__ as contract
+from footfall.registry.queries import queries
 from tests.conftest import SMALL
 
-QUERIES = contract.queries()
+QUERIES = queries()
 BATCH = [name for name in QUERIES if not name.startswith("stream_")]
 
 
