@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import ctw, decontam, language, linededup, packing, quality, sharding, simhash, substrings, toxicity
+from footfall.llm import ctw, decontam, language, linededup, notices, packing, quality, sharding, simhash, substrings, toxicity
 from footfall.llm.common import documents
 
 
@@ -56,10 +56,14 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.overlaps(documents(spark, folder), _table(spark, folder, "benchmark")).drop("tie")
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return notices.summary(notices.scan(documents(spark, folder)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_simhash_neardup, op2_language_id, op3_toxicity, op4_line_dedup, op5_packing, op6_quality_rules,
-        op7_lm_scoring, op8_sharding, op9_substring_dedup, op10_decontamination,
+        op7_lm_scoring, op8_sharding, op9_substring_dedup, op10_decontamination, op11_license_scan,
     )
     return {f.__name__: f for f in found}
 
