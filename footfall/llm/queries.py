@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import ctw, decontam, language, linededup, notices, packing, quality, sharding, simhash, substrings, toxicity
+from footfall.llm import ctw, decontam, language, linededup, notices, packing, quality, sharding, simhash, spelling, substrings, toxicity
 from footfall.llm.common import documents
 
 
@@ -60,10 +60,15 @@ def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return notices.summary(notices.scan(documents(spark, folder)))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group(documents(spark, folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_simhash_neardup, op2_language_id, op3_toxicity, op4_line_dedup, op5_packing, op6_quality_rules,
         op7_lm_scoring, op8_sharding, op9_substring_dedup, op10_decontamination, op11_license_scan,
+        op13_spelling_variants,
     )
     return {f.__name__: f for f in found}
 
@@ -142,5 +147,53 @@ FROM worded LEFT JOIN kept USING (doc_id)
 """
 
 
+# Near words share the word with one character left out, at the same place or as the word itself.
+_SPELLING = """
+WITH RECURSIVE steps AS (
+    SELECT range AS byte, CAST(range AS BIGINT) AS rest, 0 AS step FROM range(256)
+    UNION ALL
+    SELECT byte, CASE WHEN rest & 1 = 1 THEN xor(rest >> 1, 3988292384) ELSE rest >> 1 END, step + 1 FROM steps WHERE step < 8
+), remainders AS MATERIALIZED (
+    SELECT list(rest ORDER BY byte) AS table_of FROM steps WHERE step = 8
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY doc_id, run
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+        lambda c, b: xor(table_of[(xor(c, b) & 255) + 1], c >> 8))) AS h
+    FROM counted, remainders
+), harmed AS (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), words AS MATERIALIZED (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM harmed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS MATERIALIZED (
+    SELECT word, n, i, left(word, i - 1) || substring(word, i + 1) AS less FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM cut AS a JOIN cut AS b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut AS a JOIN words AS b ON a.less = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut AS a JOIN words AS b ON a.less = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, min((-other_n, other)) AS best FROM near GROUP BY word
+), formed AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN -(best[1]) >= 2 * w.n THEN best[2] END AS form, CASE WHEN -(best[1]) >= 2 * w.n THEN -(best[1]) END AS form_n
+    FROM words AS w LEFT JOIN best USING (word)
+), ways AS (
+    SELECT word, form AS root FROM formed WHERE form IS NOT NULL
+    UNION ALL SELECT w.word, f.form FROM ways AS w JOIN formed AS f ON f.word = w.root WHERE f.form IS NOT NULL
+), ends AS (
+    SELECT w.word, w.root FROM ways AS w JOIN formed AS f ON f.word = w.root WHERE f.form IS NULL
+)
+SELECT f.word, f.form, coalesce(e.root, f.word) AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM formed AS f LEFT JOIN ends AS e USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": _LINE_DEDUP, "op8_sharding": _SHARDING, "op9_substring_dedup": _SUBSTRINGS}
+    return {
+        "op4_line_dedup": _LINE_DEDUP, "op8_sharding": _SHARDING, "op9_substring_dedup": _SUBSTRINGS,
+        "op13_spelling_variants": _SPELLING,
+    }
