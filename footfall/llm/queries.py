@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import ctw, decontam, language, linededup, notices, packing, quality, sharding, simhash, spelling, substrings, toxicity
+from footfall.llm import ctw, decontam, language, linededup, notices, packing, prefixes, quality, sharding, simhash, spelling, substrings, toxicity
 from footfall.llm.common import documents
 
 
@@ -60,6 +60,10 @@ def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return notices.summary(notices.scan(documents(spark, folder)))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.trie(_table(spark, folder, "conversations"))
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.group(documents(spark, folder))
 
@@ -68,7 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_simhash_neardup, op2_language_id, op3_toxicity, op4_line_dedup, op5_packing, op6_quality_rules,
         op7_lm_scoring, op8_sharding, op9_substring_dedup, op10_decontamination, op11_license_scan,
-        op13_spelling_variants,
+        op12_prefix_trie, op13_spelling_variants,
     )
     return {f.__name__: f for f in found}
 
@@ -147,6 +151,57 @@ FROM worded LEFT JOIN kept USING (doc_id)
 """
 
 
+# A node is known by the hashes of its turns, joined; its ancestors are those of its smallest member.
+_PREFIXES = """
+WITH RECURSIVE steps AS (
+    SELECT range AS byte, CAST(range AS BIGINT) AS rest, 0 AS step FROM range(256)
+    UNION ALL
+    SELECT byte, CASE WHEN rest & 1 = 1 THEN xor(rest >> 1, 3988292384) ELSE rest >> 1 END, step + 1 FROM steps WHERE step < 8
+), remainders AS MATERIALIZED (
+    SELECT list(rest ORDER BY byte) AS table_of FROM steps WHERE step = 8
+), numbered AS MATERIALIZED (
+    SELECT conv_id, coalesce(role, '') AS role, md5(coalesce(text, '')) AS digest, strlen(coalesce(text, '')) AS bytes,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS number
+    FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+    SELECT conv_id, count(*) AS own FROM numbered GROUP BY conv_id
+), hashed AS (
+    SELECT conv_id, own, conv_id - conv_id % 5 AS first, xor(4294967295, list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(CAST(conv_id AS VARCHAR))), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+        lambda c, b: xor(table_of[(xor(c, b) & 255) + 1], c >> 8))) % 9 AS h
+    FROM sizes, remainders
+), heads AS MATERIALIZED (
+    SELECT a.conv_id, a.first, h, least(h, coalesce(b.own, 0)) AS taken, least(h, coalesce(b.own, 0)) + greatest(a.own - h, 0) AS size
+    FROM hashed AS a LEFT JOIN sizes AS b ON b.conv_id = a.first
+), rebuilt AS (
+    SELECT conv_id, taken + number - h AS number, role, digest, bytes FROM numbered JOIN heads USING (conv_id) WHERE number > h
+    UNION ALL
+    SELECT heads.conv_id, number, role, digest, bytes FROM heads JOIN numbered ON numbered.conv_id = first AND number <= taken
+), members AS MATERIALIZED (
+    SELECT conv_id, number AS depth, bytes, string_agg(md5(digest || role), ',') OVER (PARTITION BY conv_id ORDER BY number ROWS UNBOUNDED PRECEDING) AS key FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM heads
+), named AS MATERIALIZED (
+    SELECT depth, key, min(conv_id) AS node, count(*) AS n_convs, min(bytes) AS bytes FROM members GROUP BY depth, key
+), ways AS MATERIALIZED (
+    SELECT m.conv_id, m.depth, n.node FROM members AS m JOIN named AS n USING (depth, key)
+), nodes AS MATERIALIZED (
+    SELECT n.*, w.node AS parent FROM named AS n LEFT JOIN ways AS w ON w.conv_id = n.node AND w.depth = n.depth - 1
+), children AS (
+    SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY ALL
+), rolled AS (
+    SELECT w.node, w.depth, sum(CASE WHEN c.n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.bytes) AS saved
+    FROM nodes AS n JOIN ways AS w ON w.conv_id = n.node AND w.depth <= n.depth LEFT JOIN children AS c ON c.node = n.node AND c.depth = n.depth
+    GROUP BY w.node, w.depth
+), ends AS (
+    SELECT w.node, w.depth, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS sha
+    FROM ways AS w JOIN heads USING (conv_id) WHERE w.depth = size GROUP BY w.node, w.depth
+)
+SELECT n.node AS conv_id, CAST(n.depth AS BIGINT) AS depth, n.parent AS parent_conv_id, n.n_convs, CAST(coalesce(n_children, 0) AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, coalesce(sha, sha256('')) AS ends_sha256
+FROM nodes AS n JOIN rolled AS r ON r.node = n.node AND r.depth = n.depth
+LEFT JOIN children AS c ON c.node = n.node AND c.depth = n.depth LEFT JOIN ends AS e ON e.node = n.node AND e.depth = n.depth
+"""
+
 # Near words share the word with one character left out, at the same place or as the word itself.
 _SPELLING = """
 WITH RECURSIVE steps AS (
@@ -195,5 +250,5 @@ FROM formed AS f LEFT JOIN ends AS e USING (word)
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_line_dedup": _LINE_DEDUP, "op8_sharding": _SHARDING, "op9_substring_dedup": _SUBSTRINGS,
-        "op13_spelling_variants": _SPELLING,
+        "op12_prefix_trie": _PREFIXES, "op13_spelling_variants": _SPELLING,
     }
