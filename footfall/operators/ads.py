@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from footfall.operators.group_limits import TRIMMED, nth_in_group
+
 # Fixed value: clicks of one user on one ad in one day that put the user on the blacklist.
 BLACKLIST_THRESHOLD = 100
 
@@ -30,23 +32,43 @@ def blacklist_filter(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
 
 
-def blacklist_cutoff(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
-    """Clicks up to the moment their user first reached the threshold, in event time.
+def crossings(clicks: DataFrame, threshold: int, before: DataFrame | None = None) -> DataFrame:
+    """User and time of every click with which a user reaches the threshold on one ad in one day.
 
-    Only the ``threshold`` earliest clicks of a (day, user, ad) matter. The rank
-    filter makes Spark trim each group to that many rows per task before the
-    shuffle, so a robot's millions of clicks never meet in one task.
+    ``before`` holds earlier counts (``date, user_id, ad_id, click_count``) that are added. Up to
+    ``TRIMMED`` the rank filter makes Spark trim each group to that many rows per task before the
+    shuffle; beyond it a histogram over the minutes of the day finds the border minute. Either way a
+    robot's millions of clicks never meet in one task.
     """
-    day = F.to_date("ts")
-    order = Window.partitionBy(day, "user_id", "ad_id").orderBy("ts", "event_id")
-    crossings = (
-        clicks.select("ts", "event_id", "user_id", "ad_id")
-        .withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") == threshold)
-    )
-    cutoffs = crossings.groupBy("user_id").agg(F.min("ts").alias("_cutoff"))
-    kept = clicks.join(cutoffs, "user_id", "left").where("_cutoff IS NULL OR ts <= _cutoff")
-    return kept.drop("_cutoff")
+    keys = ["date", "user_id", "ad_id"]
+    order = ["ts", "event_id"] if "event_id" in clicks.columns else ["ts"]
+    rows = clicks.select(F.to_date("ts").alias("date"), "user_id", "ad_id", *order)
+    if threshold > TRIMMED:
+        if before is not None:
+            rows = rows.join(before.select(*keys, F.col("click_count").alias("_earlier")), keys, "left")
+        else:
+            rows = rows.withColumn("_earlier", F.lit(0))
+        wanted = f"{threshold} - coalesce(_earlier, 0)"
+        return nth_in_group(rows, keys, order, "hour(ts) * 60 + minute(ts)", wanted).select("user_id", "ts")
+    window = Window.partitionBy(*keys).orderBy(*order)
+    ranked = rows.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= threshold)
+    if before is not None:
+        ranked = ranked.join(before.select(*keys, F.col("click_count").alias("_earlier")), keys, "left")
+        ranked = ranked.withColumn("_n", F.col("_n") + F.coalesce("_earlier", F.lit(0)))
+    return ranked.where(F.col("_n") == threshold).select("user_id", "ts")
+
+
+def before_cutoff(clicks: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """Clicks not later than their user's ``cutoff``; all clicks of users without one."""
+    limits = cutoffs.select(F.col("user_id").alias("_user"), F.col("cutoff").alias("_cutoff"))
+    kept = clicks.join(limits, F.col("user_id") == F.col("_user"), "left").where("_cutoff IS NULL OR ts <= _cutoff")
+    return kept.drop("_user", "_cutoff")
+
+
+def blacklist_cutoff(clicks: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFrame:
+    """Clicks up to the moment their user first reached the threshold, in event time."""
+    cutoffs = crossings(clicks, threshold).groupBy("user_id").agg(F.min("ts").alias("cutoff"))
+    return before_cutoff(clicks, cutoffs)
 
 
 def distinct_users(clicks: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from footfall.functions import labels, text, times
 from footfall.functions.numbers import ratio2
 from footfall.operators.criteria import Criteria
+from footfall.operators.group_limits import TRIMMED, first_in_group
 from footfall.operators.ordered_groups import lag_in_group, rank_in_group
 
 
@@ -161,13 +162,16 @@ def session_random_extract(sessions: DataFrame, per_day: int) -> DataFrame:
     share_start = F.call_function("div", (running - F.col("n")) * per_day, total)
     quotas = hours.select("date", "hour", (share_end - share_start).alias("quota"))
 
+    keys, order = ["date", "hour"], ["_lot", "session_id"]
+    drawn = placed.withColumn("_lot", F.md5("session_id"))
+    if per_day > TRIMMED:
+        # Rows are drawn by the first digits of their lot; only the border digits' rows are ranked.
+        quota = drawn.join(quotas, keys)
+        return first_in_group(quota, keys, order, "substr(_lot, 1, 3)", "quota").drop("_lot", "quota")
     # No hour's quota exceeds per_day: this constant limit trims groups before the shuffle.
-    order = Window.partitionBy("date", "hour").orderBy(F.md5("session_id"), "session_id")
-    candidates = placed.withColumn("_rank", F.row_number().over(order)).where(
-        F.col("_rank") <= per_day
-    )
-    picked = candidates.join(quotas, ["date", "hour"]).where("_rank <= quota")
-    return picked.drop("_rank", "quota")
+    window = Window.partitionBy(*keys).orderBy(*order)
+    candidates = drawn.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= per_day)
+    return candidates.join(quotas, keys).where("_rank <= quota").drop("_rank", "_lot", "quota")
 
 
 def extract_report(actions: DataFrame, picked: DataFrame) -> DataFrame:
