@@ -324,6 +324,16 @@ span AS (
 sliced AS (SELECT a.*, (epoch_us(ts) - first_us) // width AS slice FROM ad_clicks a, span)"""
 
 
+# Readable lines of the replayed log, whose times are whole milliseconds.
+_LINES = f"""{_ADS},
+good AS (SELECT * REPLACE (make_timestamp(ts_ms * 1000) AS ts) FROM ad_clicks WHERE event_id % 10 NOT IN (3, 7)),
+good_numbered AS (SELECT ts, user_id, row_number() OVER (PARTITION BY date, user_id, ad_id ORDER BY ts) AS n FROM good),
+good_cutoffs AS (SELECT user_id, min(ts) AS cutoff FROM good_numbered WHERE n = 3 GROUP BY user_id),
+good_kept AS (
+  SELECT a.* FROM good a LEFT JOIN good_cutoffs c ON a.user_id = c.user_id WHERE c.cutoff IS NULL OR a.ts <= c.cutoff),
+good_daily AS (SELECT date, user_id, ad_id, count(*) AS click_count FROM good_kept GROUP BY ALL)"""
+
+
 def oracle_sql() -> dict[str, str]:
     ranged = "date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
     small_clicks = f"SELECT city_id, click_product_id AS product_id FROM actions WHERE {ranged} AND click_product_id IS NOT NULL"
@@ -545,5 +555,20 @@ SELECT 'blacklist' AS section, CAST(NULL AS VARCHAR) AS date, CAST(NULL AS VARCH
 UNION ALL SELECT 'ad_stat', strftime(date, '%Y-%m-%d'), province, city, NULL, NULL, NULL, ad_id, click_count FROM s
 UNION ALL SELECT 'province_top3', strftime(date, '%Y-%m-%d'), province, NULL, NULL, NULL, NULL, ad_id, click_count FROM t
 UNION ALL SELECT 'click_trend', date, NULL, NULL, hour, minute, NULL, ad_id, click_count FROM trend""",
+        "lookup_click_count_stream": f"""WITH {_LINES},
+wanted AS (SELECT DISTINCT date, user_id, (ad_id + 1) % 10 AS ad_id FROM ad_clicks)
+SELECT strftime(w.date, '%Y-%m-%d') AS date, w.user_id, w.ad_id, coalesce(d.click_count, 0) AS click_count
+FROM wanted w LEFT JOIN good_daily d ON w.date = d.date AND w.user_id = d.user_id AND w.ad_id = d.ad_id""",
+        "pipeline_ads_stream": f"""WITH {_LINES}, s AS ({_stat('good_kept')}), p AS ({_province('s')}), t AS ({_top3('p')}),
+trend AS ({_TREND.replace('ad_clicks', 'good')})
+SELECT 'blacklist' AS section, CAST(NULL AS VARCHAR) AS date, CAST(NULL AS VARCHAR) AS province, CAST(NULL AS VARCHAR) AS city,
+ CAST(NULL AS VARCHAR) AS hour, CAST(NULL AS VARCHAR) AS minute, user_id, CAST(NULL AS BIGINT) AS ad_id,
+ CAST(NULL AS BIGINT) AS click_count, strftime(cutoff, '%Y-%m-%d %H:%M:%S.%f') AS cutoff FROM good_cutoffs
+UNION ALL SELECT 'user_counts', strftime(date, '%Y-%m-%d'), NULL, NULL, NULL, NULL, user_id, ad_id, click_count, NULL FROM good_daily
+UNION ALL SELECT 'ad_stat', strftime(date, '%Y-%m-%d'), province, city, NULL, NULL, NULL, ad_id, click_count, NULL FROM s
+UNION ALL SELECT 'province_top3', strftime(date, '%Y-%m-%d'), province, NULL, NULL, NULL, NULL, ad_id, click_count, NULL FROM t
+UNION ALL SELECT 'click_trend', date, NULL, NULL, hour, minute, NULL, ad_id, click_count, NULL FROM trend
+UNION ALL SELECT 'rejects', NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(*), NULL FROM ad_clicks WHERE event_id % 10 IN (3, 7)
+UNION ALL SELECT 'late', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 0, NULL""",
     }
     return sql

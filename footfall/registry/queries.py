@@ -25,7 +25,7 @@ from footfall.session import scratch, tune
 from footfall.sinks import writers
 from footfall.sources import ad_log, fixtures, readers, tasks
 from footfall.sources.schemas import ACTIONS_WITH_ID
-from footfall.streaming import ad_jobs, arrivals
+from footfall.streaming import ad_jobs, ad_pipeline, arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -607,6 +607,29 @@ def stream_click_trend(spark, folder):
     return ad_jobs.read_click_trend(spark, f"{base}/trend")
 
 
+def _composed_stream(spark, folder) -> str:
+    """Log lines, some of them unreadable, through the composed stream; gives the folder of its tables."""
+    base = scratch(spark, "ad-pipeline")
+    settings = ad_pipeline.Settings(threshold=THRESHOLD)
+    arrivals.replay(
+        fixtures.ad_clicks_with_lines(spark, folder),
+        lambda lines: ad_pipeline.start_ad_pipeline(
+            lines, f"{base}/tables", f"{base}/checkpoint", arrivals.AVAILABLE_NOW, settings
+        ),
+    )
+    return f"{base}/tables"
+
+
+@query
+def lookup_click_count_stream(spark, folder):
+    """The same look-up as ``lookup_click_count``, in the counts that the composed stream keeps."""
+    clicks = fixtures.ad_clicks(spark, folder)
+    next_ad = ((F.col("ad_id") + 1) % 10).alias("ad_id")
+    wanted = clicks.select(F.to_date("ts").alias("date"), "user_id", next_ad).distinct()
+    counts = ad_pipeline.read_counts(spark, _composed_stream(spark, folder), "user_counts")
+    return ads.lookup_click_count(wanted, counts)
+
+
 # --- end to end ------------------------------------------------------------------------
 
 
@@ -712,3 +735,31 @@ def pipeline_ads(spark, folder):
             part(report.click_trend, "click_trend"),
         ]
     )
+
+
+@query
+def pipeline_ads_stream(spark, folder):
+    """All tables of the composed stream, stacked, with its numbers of rejected and late lines."""
+    tables = _composed_stream(spark, folder)
+    names = {
+        "date": "date", "province": "string", "city": "string", "hour": "string", "minute": "string",
+        "user_id": "bigint", "ad_id": "bigint", "click_count": "bigint", "cutoff": "timestamp",
+    }
+
+    def part(df: DataFrame, section: str) -> DataFrame:
+        return _section(df, section, {name: F.col(name) for name in df.columns}, names)
+
+    left_out = [
+        part(ad_pipeline.read_rows(spark, tables, name).agg(F.count(F.lit(1)).alias("click_count")), name)
+        for name in ("rejects", "late")
+    ]
+    return _stacked(
+        [
+            part(ad_pipeline.read_blacklist(spark, tables), "blacklist"),
+            part(ad_pipeline.read_counts(spark, tables, "user_counts"), "user_counts"),
+            part(ad_pipeline.read_counts(spark, tables, "ad_stat"), "ad_stat"),
+            part(ad_pipeline.read_top(spark, tables), "province_top3"),
+            part(ad_pipeline.read_counts(spark, tables, "trend"), "click_trend"),
+            *left_out,
+        ]
+    )

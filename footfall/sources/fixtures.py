@@ -164,10 +164,10 @@ def ad_clicks(
     )
 
 
-def ad_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Log lines by event id. One event in ten has a field missing, one a number spoilt."""
+def ad_clicks_with_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Clicks and their log lines. One event in ten has a field missing, one a number spoilt."""
     return ad_clicks(spark, folder).selectExpr(
-        "event_id",
+        "*",
         """CASE event_id % 10
            WHEN 3 THEN concat_ws(' ', ts_ms, province, city, user_id)
            WHEN 7 THEN concat_ws(' ', ts_ms, province, city, 'x', ad_id)
@@ -175,6 +175,11 @@ def ad_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ad_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Log lines by event id, some of them unreadable."""
+    return ad_clicks_with_lines(spark, folder).select("event_id", "value")
+
+
 def row_key(number: str) -> str:
     """SQL for the row key of a part number.
 

@@ -35,8 +35,6 @@ EVERY_FIVE_SECONDS = {"processingTime": "5 seconds"}
 
 # Batches between two that carry earlier rows over: bounds what a batch reads back.
 FOLD_EVERY = 100
-# Files per batch of a log.
-FILES = 16
 
 OnBatch = Callable[[DataFrame, int], None]
 
@@ -74,7 +72,7 @@ def start_ad_stat(
     counts = _counts(lines, "1 day", keys, watermark).select(_day(F.col("start")), *keys, "click_count")
     batch_log.open_log(lines.sparkSession, out, AD_STAT)
     return _start(
-        counts, lambda df, n: batch_log.write_batch(df, out, n, FILES), checkpoint, "update", trigger
+        counts, lambda df, n: batch_log.write_batch(df, out, n), checkpoint, "update", trigger
     )
 
 
@@ -95,7 +93,7 @@ def start_click_trend(
     )
     batch_log.open_log(lines.sparkSession, out, TREND)
     return _start(
-        counts, lambda df, n: batch_log.write_batch(df, out, n, FILES), checkpoint, "update", trigger
+        counts, lambda df, n: batch_log.write_batch(df, out, n), checkpoint, "update", trigger
     )
 
 
@@ -128,7 +126,7 @@ def start_blacklist(
         log = batch_log.read_log(changed.sparkSession, out, BLACKLIST)
         known = batch_log.recent(log, batch_id, fold_every)
         new = ads.blacklist_filter(ads.blacklist_users(changed, threshold), known)
-        batch_log.write_folding(new, out, BLACKLIST, batch_id, fold_every, fold, FILES)
+        batch_log.write_folding(new, out, BLACKLIST, batch_id, fold_every, fold)
 
     return _start(counts, on_batch, checkpoint, "update", trigger)
 
@@ -138,17 +136,19 @@ def read_blacklist(spark: SparkSession, out: str) -> DataFrame:
 
 
 def start_blacklist_filter(
-    lines: DataFrame, blacklist: str, out: str, checkpoint: str, trigger: dict
+    lines: DataFrame, blacklist: str, out: str, checkpoint: str, trigger: dict, fold_every: int = FOLD_EVERY
 ) -> StreamingQuery:
     """Clicks of users that are not blacklisted when their batch starts.
 
     The blacklist log is read again in every batch, so users added meanwhile
-    by :func:`start_blacklist` are left out from the next batch on.
+    by :func:`start_blacklist` are left out from the next batch on. Only its last
+    folding batch, which has the whole list, and those since are opened.
+    ``fold_every`` must be that of the job that writes the list.
     """
     batch_log.open_log(lines.sparkSession, out, CLICKS)
 
     def on_batch(clicks: DataFrame, batch_id: int) -> None:
-        listed = batch_log.read_log(clicks.sparkSession, blacklist, BLACKLIST)
+        listed = batch_log.since_last_fold(clicks.sparkSession, blacklist, BLACKLIST, fold_every)
         batch_log.write_batch(ads.blacklist_filter(clicks, listed), out, batch_id)
 
     return _start(ad_log.clicks(lines), on_batch, checkpoint, "append", trigger)
@@ -191,7 +191,7 @@ def start_province_top3(
             return batch_log.current(rows, PROVINCE_KEYS)
 
         batch_log.write_folding(
-            changed, counts_out, PROVINCE, batch_id, fold_every, fold, FILES
+            changed, counts_out, PROVINCE, batch_id, fold_every, fold
         )
         log = batch_log.read_log(changed.sparkSession, counts_out, PROVINCE)
         version = F.col(batch_log.VERSION)

@@ -41,13 +41,17 @@ def replay(
     start: Callable[[DataFrame], StreamingQuery],
     order: Sequence[int] = (0, 1, 2, 3),
 ) -> None:
-    """Write the slices in the given order and run the query after each one."""
+    """Write the slices in the given order and run the query after each one.
+
+    The lines are the column ``value``, where there is one, else made from the clicks.
+    """
     spark = clicks.sparkSession
     streams = for_streams(spark)
     inbox = scratch(spark, "inbox")
     parts = slices(clicks, len(order))
     for i in order:
-        ad_log.lines(parts[i]).write.text(f"{inbox}/slice-{i}")
+        lines = parts[i].select("value") if "value" in parts[i].columns else ad_log.lines(parts[i])
+        lines.write.text(f"{inbox}/slice-{i}")
         query = start(file_lines(streams, f"{inbox}/*"))
         if not query.awaitTermination(TIMEOUT_SECONDS):
             query.stop()
