@@ -222,6 +222,7 @@ def rollup(trie: DataFrame, found: DataFrame, piece: int = PIECE) -> DataFrame:
     )
     light, done, heaviest = [], [], root.weight
     if heaviest > piece:
+        now = stored(now, "parts")  # else the one top is a constant, and its join a product
         names = trie.select(*_PRINT, F.col("conv_id").alias("node"), F.col("parent_conv_id").alias("parent"))
         ways = stored(found.select("conv_id", *_PRINT).join(names, _PRINT).select("conv_id", "depth", "node", "parent"), "ways")
     while heaviest > piece:
