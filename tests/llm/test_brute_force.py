@@ -103,6 +103,91 @@ def test_language_held_out(spark):
     assert sum(held) >= 0.95 * len(held)
 
 
+def test_language_brute_force(spark, texts):
+    """Counts of n-grams and log scores again, in plain Python, from the documented rule."""
+    docs = documents(spark, SMALL)
+    langs = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+
+    def grams(text):
+        letters = []
+        for c in text:
+            code = ord(c)
+            if code >= 0x10000:
+                letters.append(0x10000)
+            else:
+                letters.append((ord(c.lower()) if len(c.lower()) == 1 else code) if c.isalpha() else 32)
+        for size in language.NGRAMS:
+            for at in range(len(letters) - size + 1):
+                part = letters[at : at + size]
+                if any(x != 32 for x in part):
+                    value = size * 0x2545F491 & 0xFFFFFFFF
+                    for x, step in zip(part, language._STEPS, strict=False):
+                        value = (value ^ x) * int(step) & 0xFFFFFFFF
+                        value ^= value >> 15
+                    yield (value * int(language._STEPS[3]) & 0xFFFFFFFF) >> 32 - language.LOG_BUCKETS
+
+    counts, docs_of = collections.defaultdict(collections.Counter), collections.Counter()
+    for i, t in texts.items():
+        if langs[i] is not None and t is not None and zlib.crc32(str(i).encode()) % 5:
+            counts[langs[i]].update(grams(t))
+            docs_of[langs[i]] += 1
+    size = 1 << language.LOG_BUCKETS
+    totals = {g: sum(c.values()) + language.SMOOTHING * size for g, c in counts.items()}
+    got = {r.doc_id: r for r in language.identify(docs).collect()}
+    for i in sorted(texts)[:60]:
+        own = collections.Counter(grams(texts[i]))
+        logs = {
+            g: math.log(docs_of[g] / sum(docs_of.values())) + sum(n * math.log((c[b] + language.SMOOTHING) / totals[g]) for b, n in own.items())
+            for g, c in counts.items()
+        }
+        best = min(logs, key=lambda g: (-logs[g], g))
+        assert got[i].lang_pred == (best if any(c.isalpha() for c in texts[i]) else "und")
+        if own:
+            assert math.isclose(got[i].score, 1 / sum(math.exp(x - logs[best]) for x in logs.values()), rel_tol=1e-3)
+
+
+def test_language_without_letters(spark):
+    rows = [(1, "the cat", "en"), (2, "der Hund", "de"), (3, "²", None), (4, "½ 12", None), (5, "Ⅷ _", None), (6, "² ñ", None), (7, "٣", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, folds=10**9).collect()}
+    assert [got[i] for i in (3, 4, 5, 7)] == ["und"] * 4 and got[6] != "und"
+
+
+def test_convolution_brute_force():
+    """``logits`` against a loop over every window of every text."""
+    rng = np.random.default_rng(5)
+    taps = [rng.normal(size=(w, 1 << toxicity.LOG_WORDS, toxicity.FILTERS)).astype(np.float32) for w in toxicity.WIDTHS]
+    for t in taps:
+        t[:, toxicity.PAD] = 0
+    dense = rng.normal(size=len(toxicity.WIDTHS) * toxicity.FILTERS).astype(np.float32)
+    bias = rng.normal(size=(len(toxicity.WIDTHS), toxicity.FILTERS)).astype(np.float32)
+    model = toxicity.Model(taps, bias, dense, 0.25, None, np.zeros(1))
+    raw = [b"", b"one", b"You are, one TWO three\nfour", b"!!", b"a b"]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    words, pointers = toxicity.buckets(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    assert np.diff(pointers).tolist() == [0, 1, 6, 0, 2]
+    got = toxicity.logits(model, words, pointers)
+    for k, (a, b) in enumerate(itertools.pairwise(pointers)):
+        total = 0.25
+        for i, width in enumerate(toxicity.WIDTHS):
+            windows = []
+            for at in range(max(b - a, 1)):
+                inside = [(t, words[a + at + t]) for t in range(width) if at + t < b - a]
+                windows.append(sum((taps[i][t, w] for t, own in inside for w in own), np.zeros(toxicity.FILTERS)))
+            total += np.maximum(np.max(windows, axis=0) + bias[i], 0) @ dense[i * toxicity.FILTERS : (i + 1) * toxicity.FILTERS]
+        assert math.isclose(got[k], total, rel_tol=1e-4, abs_tol=1e-4)
+
+
+def test_toxicity_held_out_alone(spark):
+    """Recall on held-out documents only, where there are enough of them."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = {r.doc_id: r for r in toxicity.classify(documents(spark, folder), labels).collect()}
+    held = [(got[r.doc_id].predicted, r.toxic) for r in labels.collect() if got[r.doc_id].held_out]
+    caught, clean = [p == 1 for p, t in held if t == 1], [p == 0 for p, t in held if t == 0]
+    assert len(caught) > 50 and sum(caught) >= 0.9 * len(caught) and sum(clean) >= 0.98 * len(clean)
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
@@ -213,7 +298,7 @@ def test_context_tree(spark):
             found[int.from_bytes(text[i - d : i], "big")][text[i]] += 1
         keys = sorted(found)
         levels.append((np.array(keys), np.stack([found[k] for k in keys])))
-    tree = ctw.build(levels)
+    tree = ctw.build([ctw.Level.of(np.repeat(keys, 256), np.tile(np.arange(256), len(keys)), cells.ravel()) for keys, cells in levels])
     assert np.allclose((10.0**tree.logs).sum(axis=1), 1, atol=1e-4)
 
     def estimate(a, b):
@@ -243,6 +328,48 @@ def test_context_tree(spark):
     assert math.isclose(row[112:128].sum() / row[96:128].sum(), mixed(0, 0, 3), rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("times", [1, 10**5, 10**10])
+def test_context_tree_with_large_counts(times):
+    rng = np.random.default_rng(3)
+    text = rng.choice(list(b"abcd \n"), 3000, p=[0.4, 0.2, 0.2, 0.1, 0.05, 0.05])
+    levels = []
+    for d in range(4):
+        context = sum((text[3 - i : len(text) - i].astype(np.int64) << 8 * (i - 1) for i in range(1, d + 1)), np.zeros(len(text) - 3, np.int64))
+        pairs, n = np.unique(context * 256 + text[3:], return_counts=True)
+        levels.append(ctw.Level.of(pairs >> 8, pairs & 255, n * times + rng.integers(0, 2) * (d == 0)))
+    tree = ctw.build(levels)
+    assert np.isfinite(tree.logs).all() and np.allclose((10.0**tree.logs).sum(axis=1), 1, atol=1e-4)
+    maps = ctw.row_maps(tree)
+    data = np.frombuffer(b"abcdabzz\xc3\xa9a", np.uint8)
+    offsets = np.array([0, 4, 4, len(data)])
+    got = ctw.byte_scores(tree, maps, data, offsets)
+    for i, (a, b) in enumerate(itertools.pairwise(offsets)):
+        line, want = bytes([ctw.EDGE] * 3) + data[a:b].tobytes() + bytes([ctw.EDGE]), 0.0
+        for j in range(3, len(line)):
+            for d in range(3, -1, -1):
+                context = int.from_bytes(line[j - d : j], "big")
+                at = np.flatnonzero(tree.contexts[d] == context)
+                if len(at):
+                    want += float(tree.logs[tree.rows[d][at[0]], line[j]])
+                    break
+        assert math.isclose(got[i], want, rel_tol=1e-5)
+
+
+def test_score_is_the_sum_of_a_plain_loop(spark, texts):
+    docs = documents(spark, SMALL)
+    model, _ = ctw.fit(docs, ctw.fold("doc_id", 7) != 2)
+    got = {r.doc_id: r for r in ctw.score(docs).collect()}
+    known = [dict(zip(c.tolist(), r.tolist(), strict=True)) for c, r in zip(model.tree.contexts, model.tree.rows, strict=True)]
+    for i in sorted(texts)[:40]:
+        raw = low(texts[i]).encode()
+        line, want = bytes([ctw.EDGE] * 3) + raw + bytes([ctw.EDGE]), 0.0
+        for j in range(3, len(line)):
+            d = next(d for d in range(3, -1, -1) if int.from_bytes(line[j - d : j], "big") in known[d])
+            want += float(model.tree.logs[known[d][int.from_bytes(line[j - d : j], "big")], line[j]])
+        assert math.isfinite(got[i].score) and math.isclose(got[i].score, want, rel_tol=1e-5)
+        assert math.isclose(got[i].bits_per_byte, -want * math.log2(10) / (len(raw) + 1), rel_tol=1e-5)
+
+
 def test_substrings_small_batches(spark):
     rng = random.Random(3)
     base = [f"w{i}" for i in range(60)]
