@@ -86,9 +86,9 @@ def salted_count(df: DataFrame, key: str, row_id: str, salts: int = 16) -> DataF
 
     Spark's partial aggregation already evens out a plain count. The two
     visible stages are for aggregates without a partial form, and for engines
-    reading the intermediate result.
+    reading the intermediate result. The key keeps its type.
     """
     salted = salting.add_prefix(F.col(key), salting.salt_of(F.col(row_id), salts))
     first = df.groupBy(salted.alias("salted_key")).agg(F.count(F.lit(1)).alias("n"))
-    second = first.groupBy(salting.strip_prefix(F.col("salted_key")).alias(key))
-    return second.agg(F.sum("n").alias("click_count"))
+    unsalted = salting.strip_prefix(F.col("salted_key")).cast(df.schema[key].dataType)
+    return first.groupBy(unsalted.alias(key)).agg(F.sum("n").alias("click_count"))

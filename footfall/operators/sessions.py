@@ -71,20 +71,26 @@ def session_filter(actions: DataFrame, users: DataFrame, criteria: Criteria) ->
     return join_session_user(measures, users.where(criteria.user_condition()))
 
 
-def session_aggr_stat(sessions: DataFrame) -> DataFrame:
-    """One row: number of sessions and the share of every length and depth range."""
+def range_counts() -> list[Column]:
+    """Aggregates: the number of sessions, and that of every length and depth range."""
     ranges = {
         f"{column}_{name}_ratio": labels.in_range(column, low, high)
         for column, table in (("visit_length", labels.VISIT_RANGES), ("step_length", labels.STEP_RANGES))
         for name, low, high in table
     }
-    counts = sessions.agg(
-        F.count(F.lit(1)).alias("session_count"),
-        *[F.expr(f"count_if({condition})").alias(name) for name, condition in ranges.items()],
-    )
-    return counts.select(
-        "session_count", *[ratio2(name, "session_count").alias(name) for name in ranges]
-    )
+    counts = [F.expr(f"count_if({condition})").alias(name) for name, condition in ranges.items()]
+    return [F.count(F.lit(1)).alias("session_count"), *counts]
+
+
+def shares(counts: DataFrame) -> DataFrame:
+    """The one row of :func:`range_counts` with shares in place of the ranges' counts."""
+    ranges = [name for name in counts.columns if name != "session_count"]
+    return counts.select("session_count", *[ratio2(name, "session_count").alias(name) for name in ranges])
+
+
+def session_aggr_stat(sessions: DataFrame) -> DataFrame:
+    """One row: number of sessions and the share of every length and depth range."""
+    return shares(sessions.agg(*range_counts()))
 
 
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:

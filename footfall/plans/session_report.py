@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from footfall.operators import sessions
 from footfall.operators.criteria import Criteria
@@ -27,15 +28,17 @@ def session_report(
     The passing sessions and their actions feed several results. Both are
     written once below ``folder`` (the detail table is a result anyway), so
     the actions are rolled up and joined once, and a lost executor costs no
-    recomputation of either.
+    recomputation of either. The statistics are observed while the sessions
+    are written: they need no pass of their own.
     """
-    passing = _stored(sessions.session_filter(actions, users, criteria), f"{folder}/passing_sessions")
+    counts = sessions.range_counts()
+    passing, counted = _stored_and_counted(sessions.session_filter(actions, users, criteria), f"{folder}/passing_sessions", counts)
     detail = _stored(sessions.session_detail(actions, passing), f"{folder}/session_detail")
 
     top_categories = sessions.top10_category(sessions.category_counts(detail))
     picked = sessions.session_random_extract(passing, per_day)
     return SessionReport(
-        aggr_stat=sessions.session_aggr_stat(passing),
+        aggr_stat=sessions.shares(counted),
         detail=detail,
         top10_category=top_categories,
         top10_session=sessions.top10_session(detail, top_categories),
@@ -47,3 +50,11 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back; its real size then decides how it is joined."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _stored_and_counted(df: DataFrame, path: str, counts: list) -> tuple[DataFrame, DataFrame]:
+    """Write a table, and take aggregates of it from the same pass, as a frame of one row."""
+    seen = Observation()
+    written = _stored(df.observe(seen, *counts), path)
+    row = seen.get
+    return written, df.sparkSession.range(1).select(*[F.lit(value).cast("bigint").alias(name) for name, value in row.items()])

@@ -340,6 +340,11 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         # sources and scans
         "scan_actions_by_date": f"WITH {_ACTIONS} {_ACTIONS_OUT} FROM actions WHERE {ranged}",
+        "scan_stored_actions_by_date": f"WITH {_ACTIONS} {_ACTIONS_OUT} FROM actions WHERE {ranged}",
+        "scan_stored_actions_of_task": f"WITH {_ACTIONS} {_ACTIONS_OUT} FROM actions WHERE date BETWEEN DATE '2024-01-06' AND DATE '2024-01-25'",
+        "replace_stored_days": f"""WITH {_ACTIONS}
+SELECT strftime(date, '%Y-%m-%d') AS date, CASE WHEN day(date) % 10 = 0 THEN page_id + 1 ELSE page_id END AS page_id, count(*) AS n
+FROM actions GROUP BY 1, 2""",
         "scan_clicks_by_date": f"WITH {_ACTIONS} {small_clicks}",
         "scan_ctrl_a_text": f"WITH {_ACTIONS} {_ACTIONS_OUT} FROM actions",
         "parse_ad_log": f"""WITH {_ADS},
@@ -382,6 +387,11 @@ SELECT {_TOP_OUT} FROM merged""",
         # cells
         "cells_row_range": f"""WITH {_CELLS}, newest AS ({_latest('cells')})
 SELECT row, value FROM newest WHERE {_RANGE} AND family = 'f1' AND qualifier = 'name'""",
+        "cells_stored_row_range": f"""WITH {_CELLS}, newest AS ({_latest('cells')})
+SELECT row, value FROM newest WHERE {_RANGE} AND family = 'f1' AND qualifier = 'name'""",
+        "cells_stored_row_filter_le": f"WITH {_CELLS} SELECT DISTINCT row FROM cells WHERE row <= 'row0100'",
+        "cells_stored_get": f"""WITH {_CELLS}, newest AS ({_latest('cells')})
+SELECT row, ts, value FROM newest WHERE family = 'f1' AND qualifier = 'name' AND row = 'row770000000000'""",
         "cells_family_map": f"""WITH {_CELLS}, newest AS ({_latest('cells')})
 SELECT row, qualifier, value FROM newest WHERE {_RANGE} AND family = 'f1'""",
         "cells_all_versions": f"WITH {_CELLS} SELECT row, family, qualifier, ts, value FROM cells WHERE {_RANGE}",
@@ -438,8 +448,13 @@ WHERE professional LIKE 'F%' AND age > 12 ORDER BY 1, 2""",
         "join_session_user": f"""WITH {_ROLLUP},{_USERS}
 SELECT {_SESSION_OUT}, age, professional, city, sex FROM sessions JOIN users USING (user_id)""",
         "session_detail": f"WITH {_PASSING} {_ACTIONS_OUT} FROM detail",
-        "join_click_city": f"""WITH {_ACTIONS},{_CITIES}, c AS ({small_clicks})
-SELECT city_id, city_name, area, product_id FROM c JOIN cities USING (city_id)""",
+        "join_click_city": f"""WITH {_ACTIONS},{_CITIES}
+SELECT city_id, city_name, area, click_product_id AS product_id FROM actions JOIN cities USING (city_id) WHERE click_product_id IS NOT NULL""",
+        "skewed_join_click_city": f"""WITH {_CITIES},{_BIG_CLICKS}
+SELECT city_id, city_name, area, product_id FROM clicks JOIN cities USING (city_id)""",
+        "skewed_join_session_user": f"""WITH {_ROLLUP},{_USERS}
+SELECT session_id, user_id, visit_length, step_length, strftime(start_time, '%Y-%m-%d %H:%M:%S.%f') AS start_time,
+ age, professional, city, sex FROM sessions JOIN users USING (user_id)""",
         "join_product_info": f"WITH {_AREA_COUNTS} SELECT * FROM full_counts",
         "blacklist_filter": f"""WITH {_BLACK} SELECT {_CLICK_OUT} FROM ad_clicks
 WHERE user_id NOT IN (SELECT user_id FROM black)""",
@@ -510,7 +525,7 @@ SELECT event_id, user_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS time_tex
 FROM l""",
         "json_extract": """SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS absent,
  json_extract_string(props, '$.k') AS first_item_k, CAST(NULL AS VARCHAR) AS malformed FROM events""",
-        "skew_salted_count": """SELECT CAST(l_partkey AS VARCHAR) AS product_id, count(*) AS click_count
+        "skew_salted_count": """SELECT l_partkey AS product_id, count(*) AS click_count
 FROM lineitem GROUP BY l_partkey""",
         # event time and streaming
         "blacklist_cutoff": f"WITH {_CUTOFF} SELECT {_CLICK_OUT} FROM kept",
@@ -528,6 +543,8 @@ FROM moved GROUP BY s, ad_id""",
 SELECT user_id, province, city, ad_id,
  strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d %H:%M:%S.%f') AS ts
 FROM ad_clicks WHERE user_id NOT IN (SELECT user_id FROM black)""",
+        "stream_blacklist_cutoff": f"""WITH {_LINES.replace('WHERE event_id % 10 NOT IN (3, 7)', '')}
+SELECT user_id, province, city, ad_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM good_kept""",
         "stream_province_top3": f"""WITH {_ADS}, s AS ({_stat('ad_clicks')}), p AS ({_province('s')}), t AS ({_top3('p')})
 SELECT {_TOP_OUT} FROM t""",
         "stream_click_trend": f"WITH {_ADS} {_TREND}",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.functions import labels
-from footfall.operators import ads, catalogue, cells, criteria, funnel, merges, products, recode
+from footfall.operators import ads, catalogue, cells, criteria, funnel, merges, products, recode, skew_joins
 from footfall.operators import sessions as sess
 from footfall.operators.criteria import Criteria
 from footfall.plans.ad_report import ad_report
@@ -23,9 +23,9 @@ from footfall.plans.page_funnel import page_funnel
 from footfall.plans.session_report import session_report
 from footfall.session import scratch, tune
 from footfall.sinks import writers
-from footfall.sources import ad_log, fixtures, readers, tasks
+from footfall.sources import action_table, ad_log, cell_table, fixtures, readers, tasks
 from footfall.sources.schemas import ACTIONS_WITH_ID
-from footfall.streaming import ad_jobs, ad_pipeline, arrivals
+from footfall.streaming import ad_jobs, ad_pipeline, arrivals, cutoff
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,7 @@ THRESHOLD = 3
 SESSION_TASK = 5
 FUNNEL_TASK = 7
 START_ROW, STOP_ROW, LAST_ROW = "row5000", "row8000", "row0100"
+GET_ROW = "row770000000000"  # of part 77
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -96,6 +97,36 @@ def scan_clicks_by_date(spark, folder):
     return readers.clicks_by_date(fixtures.actions(spark, folder, start, end), start, end)
 
 
+def _stored_actions(spark, folder) -> str:
+    path = scratch(spark, "stored-actions")
+    action_table.write_actions(fixtures.actions(spark, folder), path)
+    return path
+
+
+@query
+def scan_stored_actions_by_date(spark, folder):
+    """The range of ``scan_actions_by_date``, from the table that is stored by day."""
+    return readers.actions_by_date(action_table.read_actions(spark, _stored_actions(spark, folder)), *DATES)
+
+
+@query
+def scan_stored_actions_of_task(spark, folder):
+    """Actions on the days of one saved task: the days are found while the query runs and choose the folders."""
+    stored = action_table.read_actions(spark, _stored_actions(spark, folder))
+    params = tasks.parse_params(fixtures.tasks(spark, folder).where(F.col("task_id") == SESSION_TASK))
+    return action_table.actions_on_days(stored, action_table.days_of_tasks(params))
+
+
+@query
+def replace_stored_days(spark, folder):
+    """Actions by day and page after every tenth day was written anew, moved to the next page."""
+    path = _stored_actions(spark, folder)
+    moved = fixtures.actions(spark, folder).where("day(date) % 10 = 0").withColumn("page_id", F.col("page_id") + 1)
+    action_table.replace_days(moved, path)
+    after = action_table.read_actions(spark, path)
+    return after.groupBy("date", "page_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def scan_ctrl_a_text(spark, folder):
     path = scratch(spark, "actions-text")
@@ -177,6 +208,30 @@ def cells_row_range(spark, folder):
     return cells.latest(cells.column(part, "f1", "name")).select("row", "value")
 
 
+def _stored_cells(spark, folder) -> DataFrame:
+    path = scratch(spark, "stored-cells")
+    cell_table.write_cells(fixtures.cells(spark, folder), path)
+    return cell_table.read_cells(spark, path)
+
+
+@query
+def cells_stored_row_range(spark, folder):
+    """``cells_row_range`` on the table stored in key order."""
+    part = cells.row_range(_stored_cells(spark, folder), START_ROW, STOP_ROW)
+    return cells.latest(cells.column(part, "f1", "name")).select("row", "value")
+
+
+@query
+def cells_stored_row_filter_le(spark, folder):
+    return cells.row_at_most(_stored_cells(spark, folder), LAST_ROW).select("row").distinct()
+
+
+@query
+def cells_stored_get(spark, folder):
+    """A point get, on the table stored in key order."""
+    return cells.get_row(_stored_cells(spark, folder), GET_ROW, "f1", "name").select("row", "ts", "value")
+
+
 @query
 def cells_family_map(spark, folder):
     part = cells.row_range(fixtures.cells(spark, folder), START_ROW, STOP_ROW)
@@ -326,10 +381,27 @@ def session_detail(spark, folder):
 
 @query
 def join_click_city(spark, folder):
-    clicks = readers.clicks_by_date(fixtures.actions(spark, folder), *DATES)
+    clicks = readers.clicks(fixtures.actions(spark, folder))
     return products.join_click_city(clicks, fixtures.cities(spark, folder))
 
 
+@query
+def skewed_join_click_city(spark, folder):
+    """Every click of the big click table with its city, city keys salted where they are heavy."""
+    clicks = fixtures.product_clicks(spark, folder)
+    cities = fixtures.cities(spark, folder).select("city_id", "city_name", "area")
+    joined = skew_joins.salted_join(clicks, cities, "city_id", ["row_id", "product_id"])
+    return joined.select("city_id", "city_name", "area", "product_id")
+
+
+@query
+def skewed_join_session_user(spark, folder):
+    """Sessions with their user's attributes, heavy users salted."""
+    measures = sess.session_measures(fixtures.actions(spark, folder))
+    users = fixtures.users(spark, folder).select("user_id", "age", "professional", "city", "sex")
+    return skew_joins.salted_join(measures, users, "user_id", ["session_id"], share=0.0005)
+
+
 @query
 def join_product_info(spark, folder):
     counts = products.area_product_count(
@@ -581,6 +653,19 @@ def stream_blacklist_filter(spark, folder):
     return ad_jobs.read_filtered(spark, f"{base}/clicks")
 
 
+@query
+def stream_blacklist_cutoff(spark, folder):
+    base = _replay(
+        spark,
+        folder,
+        "stream-cutoff",
+        lambda lines, base, checkpoint: cutoff.start_cutoff(
+            lines, f"{base}/out", checkpoint, arrivals.AVAILABLE_NOW, THRESHOLD
+        ),
+    )
+    return cutoff.read_clicks(spark, f"{base}/out")
+
+
 @query
 def stream_province_top3(spark, folder):
     base = _replay(

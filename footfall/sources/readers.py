@@ -95,10 +95,15 @@ def actions_by_date(actions: DataFrame, start: str | None, end: str | None) -> D
     return actions.where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
+def clicks(actions: DataFrame) -> DataFrame:
+    """City and product of the product clicks."""
+    clicked = actions.where(F.col("click_product_id").isNotNull())
+    return clicked.select("city_id", F.col("click_product_id").alias("product_id"))
+
+
 def clicks_by_date(actions: DataFrame, start: str | None, end: str | None) -> DataFrame:
     """City and product of the product clicks in a date range."""
-    clicks = actions_by_date(actions, start, end).where(F.col("click_product_id").isNotNull())
-    return clicks.select("city_id", F.col("click_product_id").alias("product_id"))
+    return clicks(actions_by_date(actions, start, end))
 
 
 def blacklist(stored: DataFrame) -> DataFrame:
