@@ -25,7 +25,7 @@ SMOOTHING = 0.5
 MAX_LANGUAGES = 256  # bounds the broadcast matrix at 2^16 * 256 floats; more is an error
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")  # also finds superscripts, fractions and the like
 _STEPS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]  # odd
 _BATCH = 1 << 19  # characters scored at once
 
@@ -48,6 +48,10 @@ def _folded() -> np.ndarray:
     return table
 
 
+def has_letter(text: str) -> bool:
+    return any(found[0].isalpha() for found in _MAYBE_LETTER.finditer(text))
+
+
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text of each n-gram, its bucket) in pieces; runs over all n-grams of each text."""
     text = data.tobytes().decode("utf-8", "replace")
@@ -141,7 +145,7 @@ def guesses(model: Model, column: pa.Array) -> Iterator[tuple[int, int, np.ndarr
         share = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
         raw = data.tobytes()
         for i in range(end - row):
-            if not _LETTER.search(raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace")):
+            if not has_letter(raw[offsets[i] : offsets[i + 1]].decode("utf-8", "ignore")):
                 best[i], share[i] = -1, 0.0
         yield row, end, best, share
 
