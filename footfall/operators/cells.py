@@ -12,7 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.ordered_groups import rank_in_group
+
 COORDINATES = ["row", "family", "qualifier"]
+MAP_ENTRIES = 10_000
 
 
 def row_range(cells: DataFrame, start: str, stop: str) -> DataFrame:
@@ -42,11 +45,17 @@ def latest(cells: DataFrame) -> DataFrame:
     )
 
 
-def family_map(cells: DataFrame, family: str) -> DataFrame:
-    """Per row a map from qualifier to newest value of one family."""
+def family_map(cells: DataFrame, family: str, entries: int = MAP_ENTRIES) -> DataFrame:
+    """Per row a map from qualifier to newest value of one family.
+
+    A row of more than ``entries`` qualifiers has several maps, numbered by ``part`` from 0, in the
+    order of the qualifiers: no map, and no task, holds a very wide row whole.
+    """
     newest = latest(cells.where(F.col("family") == family))
-    entries = F.collect_list(F.struct("qualifier", "value"))
-    return newest.groupBy("row").agg(F.map_from_entries(entries).alias("columns"))
+    numbered = rank_in_group(newest.select("row", "qualifier", "value"), ["row"], ["qualifier"], "_n")
+    part = F.expr(f"(_n - 1) div {entries}").alias("part")
+    collected = F.collect_list(F.struct("qualifier", "value"))
+    return numbered.groupBy("row", part).agg(F.map_from_entries(collected).alias("columns"))
 
 
 def qualifier_equals(cells: DataFrame, qualifier: str, columns: Sequence[str]) -> DataFrame:

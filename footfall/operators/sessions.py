@@ -18,15 +18,27 @@ def _visit_seconds() -> Column:
 
 
 def session_rollup(actions: DataFrame) -> DataFrame:
-    """One row per session with its distinct keywords and clicked categories, sorted."""
-    keyword = text.null_if_empty(F.col("search_keyword"))
-    return actions.groupBy("session_id").agg(
+    """One row per session with its distinct keywords and clicked categories, sorted.
+
+    Actions are added up per (session, keyword, category) first, in fixed-size aggregates with a
+    partial stage; lists are collected from those rows only, however many actions a session has.
+    """
+    touched = actions.select(
+        "session_id", "user_id", "action_time", "click_category_id", text.null_if_empty(F.col("search_keyword")).alias("keyword")
+    )
+    summed = touched.groupBy("session_id", "keyword", "click_category_id").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("action_time").alias("first"),
+        F.max("action_time").alias("last"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    return summed.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
-        F.array_sort(F.collect_set(keyword)).alias("search_keywords"),
+        F.array_sort(F.collect_set("keyword")).alias("search_keywords"),
         F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
-        _visit_seconds().alias("visit_length"),
-        F.count(F.lit(1)).alias("step_length"),
-        F.min("action_time").alias("start_time"),
+        (F.unix_timestamp(F.max("last")) - F.unix_timestamp(F.min("first"))).alias("visit_length"),
+        F.sum("n").alias("step_length"),
+        F.min("first").alias("start_time"),
     )
 
 

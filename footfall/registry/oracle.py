@@ -82,10 +82,7 @@ full_counts AS (
 _ADS = """
 ad_clicks AS (
   SELECT event_id, ts, epoch_us(ts) // 1000 AS ts_ms, CAST(ts AS DATE) AS date,
-    CASE user_id % 5 WHEN 0 THEN 'Jiangsu' WHEN 1 THEN 'Hubei' WHEN 2 THEN 'Hunan'
-      WHEN 3 THEN 'Henan' ELSE 'Hebei' END AS province,
-    concat(CASE user_id % 5 WHEN 0 THEN 'Jiangsu' WHEN 1 THEN 'Hubei' WHEN 2 THEN 'Hunan'
-      WHEN 3 THEN 'Henan' ELSE 'Hebei' END, '-', (user_id // 5) % 2) AS city,
+    concat('province', user_id % 5) AS province, concat('province', user_id % 5, '-', (user_id // 5) % 2) AS city,
     user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 AS ad_id
   FROM events)"""
 
@@ -587,5 +584,31 @@ UNION ALL SELECT 'province_top3', strftime(date, '%Y-%m-%d'), province, NULL, NU
 UNION ALL SELECT 'click_trend', date, NULL, NULL, hour, minute, NULL, ad_id, click_count, NULL FROM trend
 UNION ALL SELECT 'rejects', NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(*), NULL FROM ad_clicks WHERE event_id % 10 IN (3, 7)
 UNION ALL SELECT 'late', NULL, NULL, NULL, NULL, NULL, NULL, NULL, 0, NULL""",
+        "task_area_top3": " UNION ALL ".join(
+            f"""(WITH {_ACTIONS},{_CITIES},
+c AS (SELECT city_id, click_product_id AS product_id FROM actions
+ WHERE date BETWEEN DATE '2024-01-{task % 10 + 1:02d}' AND DATE '2024-01-{task % 10 + 20:02d}' AND click_product_id IS NOT NULL),
+placed AS (SELECT area, product_id, city_id, city_name FROM c JOIN cities USING (city_id)),
+lists AS (SELECT area, product_id, string_agg(concat(city_id, ':', city_name), ',' ORDER BY city_id) AS city_infos
+ FROM (SELECT DISTINCT * FROM placed) GROUP BY ALL),
+sums AS (SELECT area, product_id, count(*) AS click_count FROM placed GROUP BY ALL),
+counts AS (SELECT s.*, city_infos, p_name AS product_name, {_STATUS} AS product_status
+ FROM sums s JOIN lists USING (area, product_id) JOIN part ON s.product_id = p_partkey)
+SELECT CAST({task} AS BIGINT) AS task_id, area, {_LEVEL} AS area_level, product_id, click_count, city_infos, product_name, product_status FROM (
+ SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) AS r FROM counts) WHERE r <= 3)"""
+            for task in (3, 8)
+        ),
+        "task_convert_rates": f"""WITH {_PAIRS.replace('FROM acts)', "FROM acts WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-27')")},{_rates()}
+SELECT CAST(7 AS BIGINT) AS task_id,
+ string_agg(concat(page_split, '=', coalesce(CAST(convert_rate AS VARCHAR), 'null')), '|' ORDER BY step) AS convert_rate
+FROM rates""",
+        "task_session_stat": f"WITH {_TASK_SESSIONS} SELECT CAST(5 AS BIGINT) AS task_id, count(*) AS session_count, {_STAT_COLUMNS} FROM passing",
+        "rejected_lines": f"""WITH {_ACTIONS},{_ADS}
+SELECT 'export' AS source, concat_ws(chr(1), event_id, strftime(date, '%Y-%m-%d'), user_id, session_id, page_id,
+ strftime(action_time, '%Y-%m-%d %H:%M:%S'), coalesce(search_keyword, 'null'), coalesce(CAST(click_category_id AS VARCHAR), 'null'),
+ coalesce(CAST(click_product_id AS VARCHAR), 'null'), coalesce(order_category_ids, 'null'), coalesce(order_product_ids, 'null'),
+ coalesce(pay_category_ids, 'null'), coalesce(pay_product_ids, 'null')) AS value FROM actions WHERE event_id % 7 = 0
+UNION ALL SELECT 'log', CASE event_id % 10 WHEN 3 THEN concat(ts_ms, ' ', province, ' ', city, ' ', user_id)
+ ELSE concat(ts_ms, ' ', province, ' ', city, ' x ', ad_id) END FROM ad_clicks WHERE event_id % 10 IN (3, 7)""",
     }
     return sql

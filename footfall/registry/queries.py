@@ -18,6 +18,7 @@ from footfall.operators import ads, catalogue, cells, criteria, funnel, merges,
 from footfall.operators import sessions as sess
 from footfall.operators.criteria import Criteria
 from footfall.plans.ad_report import ad_report
+from footfall.plans import task_results
 from footfall.plans.area_top_products import area_top_products
 from footfall.plans.page_funnel import page_funnel
 from footfall.plans.session_report import session_report
@@ -801,6 +802,64 @@ def pipeline_area_top3(spark, folder):
     )
 
 
+AREA_TASKS = (3, 8)
+
+
+def _task_table(spark, folder, label, task_ids, run, schema):
+    """Run a plan for saved tasks, store its results by task and read them back."""
+    table = scratch(spark, label)
+    for task_id in task_ids:
+        task = tasks.find(fixtures.tasks(spark, folder), task_id)
+        task_results.write_result(run(task), task_id, table)
+    return task_results.read_results(spark, table, schema)
+
+
+@query
+def task_area_top3(spark, folder):
+    """``pipeline_area_top3`` over the action clicks of saved tasks' days, with the tasks' numbers."""
+    cities, info = fixtures.cities(spark, folder), fixtures.products(spark, folder)
+
+    def run(task):
+        actions = fixtures.actions(spark, folder, task.start_date, task.end_date)
+        return task_results.area_top_of_task(actions, cities, info, task)
+
+    columns = "area STRING, area_level STRING, product_id BIGINT, click_count BIGINT, city_infos STRING, product_name STRING, product_status STRING"
+    return _task_table(spark, folder, "task-area", AREA_TASKS, run, columns)
+
+
+@query
+def task_convert_rates(spark, folder):
+    def run(task):
+        return task_results.rates_of_task(fixtures.actions(spark, folder, task.start_date, task.end_date), task)
+
+    return _task_table(spark, folder, "task-rates", (FUNNEL_TASK,), run, "convert_rate STRING")
+
+
+@query
+def task_session_stat(spark, folder):
+    users = fixtures.users(spark, folder)
+
+    def run(task):
+        return task_results.session_stat_of_task(fixtures.actions(spark, folder, task.start_date, task.end_date), users, task)
+
+    ratios = [f"{name} DOUBLE" for name in sess.session_aggr_stat(sess.session_measures(fixtures.actions(spark, folder))).columns[1:]]
+    return _task_table(spark, folder, "task-session", (SESSION_TASK,), run, ", ".join(["session_count BIGINT", *ratios]))
+
+
+@query
+def rejected_lines(spark, folder):
+    """Lines that the readers turn away: of the ad log, and of a text export in which every seventh line is cut short."""
+    path = scratch(spark, "actions-cut")
+    whole = scratch(spark, "actions-whole")
+    readers.write_delimited_text(fixtures.actions(spark, folder), whole)
+    last = "concat(char(1), '[^', char(1), ']*$')"
+    cut = f"if(bigint(split_part(value, char(1), 1)) % 7 = 0, regexp_replace(value, {last}, ''), value) AS value"
+    spark.read.text(whole).selectExpr(cut).write.text(path)
+    text = readers.rejected_text(spark, path, ACTIONS_WITH_ID).select(F.lit("export").alias("source"), "value")
+    log = ad_log.parse(fixtures.ad_lines(spark, folder)).where("reject is not null")
+    return text.unionByName(log.select(F.lit("log").alias("source"), F.col("reject").alias("value")))
+
+
 @query
 def pipeline_ads(spark, folder):
     report = ad_report(fixtures.ad_clicks(spark, folder), THRESHOLD)

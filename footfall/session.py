@@ -87,9 +87,23 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
+_roots: dict[tuple[str, str], str] = {}
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses.
+
+    All paths of an application lie in one folder, which is deleted when the application ends.
+    """
+    key = (spark.sparkContext.applicationId, shared_folder(spark))
+    if key not in _roots:
+        root = f"{key[1].rstrip('/')}/footfall-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _roots[key] = root
+    return f"{_roots[key]}/{label}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpointing(spark: SparkSession) -> None:

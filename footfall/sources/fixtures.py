@@ -15,7 +15,7 @@ from footfall.sources.readers import table
 EPOCH = 1_704_067_200
 DAY = 86_400
 
-# Sales area by city number modulo 7, and province by user number modulo 5.
+# Sales area by city number modulo 7.
 AREAS = (
     "China North",
     "China East",
@@ -25,7 +25,6 @@ AREAS = (
     "West South",
     "East North",
 )
-PROVINCES = ("Jiangsu", "Hubei", "Hunan", "Henan", "Hebei")
 
 K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
 
@@ -152,7 +151,7 @@ def ad_clicks(
     spark: SparkSession, folder: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Ad clicks: every event is one."""
-    province = _pick(PROVINCES, "user_id % 5")
+    province = "concat('province', user_id % 5)"
     return _events(spark, folder, start, end).selectExpr(
         "event_id",
         "CAST(ts AS TIMESTAMP) AS ts",

@@ -162,6 +162,14 @@ def test_cell_scans(spark, table):
     assert rows(cells.get_rows(table, wanted, "f1", "name").select("row", "value")) == [("r1", "new"), ("r2", "two")]
 
 
+def test_a_wide_row_has_several_maps(spark):
+    wide = spark.range(250).selectExpr("if(id % 5 = 4, 'small', 'wide') AS row", "'f1' AS family", "concat('q', lpad(id, 3, '0')) AS qualifier", "1L AS ts", "string(id) AS value")
+    maps = cells.family_map(wide, "f1", 60).collect()
+    assert sorted((r.row, r.part, len(r["columns"])) for r in maps) == [("small", 0, 50), ("wide", 0, 60), ("wide", 1, 60), ("wide", 2, 60), ("wide", 3, 20)]
+    parts = {r.part: r["columns"] for r in maps if r.row == "wide"}
+    assert max(parts[0]) < min(parts[1]) and parts[1][min(parts[1])] == str(int(min(parts[1])[1:]))
+
+
 def test_put_adds_a_version(spark, table):
     written = spark.createDataFrame([("r1", "f1", "name", 3, "newest"), ("r9", "f1", "id", 1, "9")], table.schema)
     after = cells.put(table, written)

@@ -99,3 +99,17 @@ def test_extract_quota_and_whole_small_day(spark):
     picked = sessions.session_random_extract(df, 10)
     assert rows(picked.groupBy("date", "hour").count().select("hour", "count")) == [(0, 6), (1, 3), (2, 1), (5, 1)]
     assert rows(picked) == rows(sessions.session_random_extract(df, 10))
+
+
+def test_rollup_collects_from_distinct_values_only(spark):
+    """A session of very many actions reaches the collecting stage as few rows."""
+    many = spark.range(60_000).selectExpr(
+        "id AS event_id", "id % 9 AS user_id", "if(id % 3 = 0, 'hot', concat('s', id % 500)) AS session_id", "1L AS page_id",
+        "timestamp_seconds(1704067200 + id) AS action_time", "concat('kw', id % 4) AS search_keyword", "id % 5 AS click_category_id",
+    )
+    rolled = sessions.session_rollup(many)
+    hot = rolled.where("session_id = 'hot'").first()
+    assert (hot.step_length, hot.user_id, hot.click_category_ids) == (20_000, 0, [0, 1, 2, 3, 4])
+    plan = rolled._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    collecting = next(i for i, line in enumerate(plan) if "collect_set" in line)
+    assert any("Aggregate [session_id" in line and "keyword" in line for line in plan[collecting + 1 :])
