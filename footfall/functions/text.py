@@ -33,8 +33,17 @@ def id_name(identifier: Column, name: Column, separator: str = ":") -> Column:
     return F.concat(identifier.cast("string"), F.lit(separator), name)
 
 
+def unreadable_ids(text: Column) -> Column:
+    """The items of a comma list that :func:`id_list` leaves out because they are no numbers."""
+    parts = F.split(trim_comma(null_if_empty(text)), ",")
+    return F.coalesce(F.filter(parts, lambda p: p.try_cast("bigint").isNull()), F.array().cast("array<string>"))
+
+
 def id_list(text: Column) -> Column:
-    """A comma list of ids as an array of bigint; NULL or empty text gives an empty array."""
+    """A comma list of ids as an array of bigint; NULL or empty text gives an empty array.
+
+    Items that are no numbers are left out; :func:`unreadable_ids` has them.
+    """
     parts = F.split(trim_comma(text), ",")
     ids = F.filter(F.transform(parts, lambda p: p.try_cast("bigint")), lambda v: v.isNotNull())
     return F.coalesce(ids, F.array().cast("array<bigint>"))

@@ -610,5 +610,8 @@ SELECT 'export' AS source, concat_ws(chr(1), event_id, strftime(date, '%Y-%m-%d'
  coalesce(pay_category_ids, 'null'), coalesce(pay_product_ids, 'null')) AS value FROM actions WHERE event_id % 7 = 0
 UNION ALL SELECT 'log', CASE event_id % 10 WHEN 3 THEN concat(ts_ms, ' ', province, ' ', city, ' ', user_id)
  ELSE concat(ts_ms, ' ', province, ' ', city, ' x ', ad_id) END FROM ad_clicks WHERE event_id % 10 IN (3, 7)""",
+        "unreadable_actions": """SELECT CAST(event_id AS VARCHAR) AS event_id, 'user_id' AS column, 'nobody' AS value FROM events WHERE event_id % 11 = 0
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'action_time', '2024-13-01 5:00:00' FROM events WHERE event_id % 13 = 0
+UNION ALL SELECT CAST(event_id AS VARCHAR), 'pay_category_ids', unnest(['x', '']) FROM events WHERE event_id % 17 = 0""",
     }
     return sql

@@ -557,6 +557,24 @@ def normalize_actions(spark, folder):
     return recode.normalize_actions(fixtures.actions_raw(spark, folder))
 
 
+@query
+def unreadable_actions(spark, folder):
+    """Values that cannot be read, of raw actions in which some times, users and payments were spoilt."""
+    raw = fixtures.actions_raw(spark, folder)
+    event = "bigint(event_id)"
+    spoilt = raw.selectExpr(
+        *[
+            {
+                "user_id": f"if({event} % 11 = 0, 'nobody', user_id) AS user_id",
+                "action_time": f"if({event} % 13 = 0, '2024-13-01 5:00:00', action_time) AS action_time",
+                "pay_category_ids": f"if({event} % 17 = 0, ',3,x,,', pay_category_ids) AS pay_category_ids",
+            }.get(name, name)
+            for name in raw.columns
+        ]
+    )
+    return recode.unreadable(spoilt)
+
+
 @query
 def legacy_record_recode(spark, folder):
     return recode.legacy_record_recode(fixtures.records(spark, folder))
