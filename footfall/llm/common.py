@@ -13,7 +13,7 @@ from footfall.session import scratch
 
 # Texts are worked on in pieces of about this many bytes (or one text), which bounds
 # the memory of a Python worker whatever the size of an Arrow batch.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 # The bytes that separate words, and those of ASCII letters and digits.
 SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -152,5 +152,21 @@ def in_bitmap(words: np.ndarray, hashes: np.ndarray, log_bits: int) -> np.ndarra
     return (words[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
 
 
+class Recent:
+    """Which hashes a task has met lately, in a table of fixed size: what is forgotten only comes twice."""
+
+    def __init__(self, log_slots: int = 16):
+        self.shift = np.uint64(64 - log_slots)
+        self.table = np.zeros(1 << log_slots, np.uint64)
+
+    def new(self, hashes: np.ndarray) -> np.ndarray:
+        """Positions of the hashes not known to have been met, each once; they count as met from now on."""
+        found, first = np.unique(hashes, return_index=True)
+        slots = found >> self.shift
+        fresh = self.table[slots] != found
+        self.table[slots[fresh]] = found[fresh]
+        return np.sort(first[fresh])
+
+
 def record(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

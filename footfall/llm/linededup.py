@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import PIECE_BYTES, bitmap, in_bitmap, pieces, record, signed, stored
+from footfall.llm.common import PIECE_BYTES, Recent, bitmap, in_bitmap, pieces, record, signed, stored
 
 EDITS = 1
 MIN_CHARS = 20  # shorter lines are never duplicates
@@ -154,23 +154,22 @@ def similar(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS) -> D
     """Pairs ``a < b`` of hashes of different lines within the edit distance."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        recent = Recent()
         for batch in batches:
             hashes, lines, held = [], [], 0
             for _, _, content, line in _eligible(batch, shortest):
-                h = _identity(line)[0]
-                if h in seen:
-                    continue
-                if len(seen) < 1 << 20:
-                    seen.add(h)
-                hashes.append(h)
+                hashes.append(_identity(line)[0])
                 lines.append(content)
                 held += len(content)
                 if held > PIECE_BYTES:
-                    yield _rows(hashes, lines)
+                    yield from _new_rows(recent, hashes, lines)
                     hashes, lines, held = [], [], 0
-            if lines:
-                yield _rows(hashes, lines)
+            yield from _new_rows(recent, hashes, lines)
+
+    def _new_rows(recent: Recent, hashes: list[int], lines: list[str]) -> Iterator[pa.RecordBatch]:
+        new = recent.new(np.array(hashes, np.int64).view(np.uint64))
+        if len(new):
+            yield _rows([hashes[i] for i in new], [lines[i] for i in new])
 
     def _rows(hashes: list[int], lines: list[str]) -> pa.RecordBatch:
         digests: list[int] = []
@@ -205,18 +204,21 @@ def similar(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS) -> D
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids, "h", FILTER_BITS))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        recent = Recent()
         for batch in batches:
-            lines = [(_identity(line)[0], content) for _, _, content, line in _eligible(batch, shortest)]
-            if not lines:
-                continue
-            hashes = np.array([h for h, _ in lines], np.int64)
-            hit = np.flatnonzero(in_bitmap(wanted.value, hashes.view(np.uint64), FILTER_BITS))
-            new = [lines[i] for i in dict((lines[i][0], i) for i in hit).values() if lines[i][0] not in seen]
-            if len(seen) < 1 << 20:
-                seen.update(h for h, _ in new)
-            if new:
-                yield record(_TEXTS, h=[h for h, _ in new], content=[c for _, c in new])
+            hashes, lines, held = [], [], 0
+            for _, _, content, line in itertools.chain(_eligible(batch, shortest), [(0, 0, "", None)]):
+                if line is not None:
+                    hashes.append(_identity(line)[0])
+                    lines.append(content)
+                    held += len(content)
+                if hashes and (line is None or held > PIECE_BYTES):
+                    own = np.array(hashes, np.int64).view(np.uint64)
+                    hit = np.flatnonzero(in_bitmap(wanted.value, own, FILTER_BITS))
+                    new = hit[recent.new(own[hit])]
+                    if len(new):
+                        yield record(_TEXTS, h=[hashes[i] for i in new], content=[lines[i] for i in new])
+                    hashes, lines, held = [], [], 0
 
     texts = docs.select("text").mapInArrow(fetch, "h long, content string").join(ids.distinct(), "h", "left_semi").distinct()
     left = texts.select(F.col("h").alias("a"), F.col("content").alias("x"))
