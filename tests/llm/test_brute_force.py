@@ -230,6 +230,35 @@ def test_edit_distance_and_segments():
                 assert (linededup.bag(x) ^ linededup.bag(y)).bit_count() <= 2 * k
 
 
+@pytest.mark.parametrize("edits", [1, 2])
+def test_near_lines_against_all_pairs(spark, edits):
+    """The whole operator, also at two edits: no near line is missed, and none is removed without one."""
+    rng = random.Random(edits)
+    bases = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(20, 30))) for _ in range(25)]
+    rows = []
+    for i in range(60):
+        lines = []
+        for _ in range(rng.randint(1, 5)):
+            line = list(rng.choice(bases))
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                at, kind = rng.randrange(len(line)), rng.randrange(3)
+                line[at : at + (kind < 2)] = [] if kind == 0 else [rng.choice("abcdé ")]
+            lines.append("".join(line))
+        rows.append((i, "\n".join([*lines, "short"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in linededup.deduplicate(docs, edits).collect()}
+    firsts = {}
+    for i, text in rows:
+        for n, line in enumerate(text.split("\n")):
+            if len(line) >= 20:
+                firsts.setdefault(line, (i, n))
+    gone = {x for x in firsts for y in firsts if firsts[y] < firsts[x] and abs(len(x) - len(y)) <= edits and distance(x, y) <= edits}
+    for i, text in rows:
+        kept = [x for n, x in enumerate(text.split("\n")) if len(x) < 20 or (firsts[x] == (i, n) and x not in gone)]
+        assert got[i] == "\n".join(kept)
+    assert 5 < len(gone) < len(firsts)
+
+
 def test_optimal_buckets():
     rng = np.random.default_rng(0)
     for _ in range(150):
@@ -436,6 +465,28 @@ def test_overlaps(spark, texts):
     assert got == want and got
 
 
+def test_short_items_match_whole(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(12)]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(1 + k % 14))) for k in range(40)] + [(90, ""), (91, None), (92, "!!")]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60)))) for i in range(120)]
+    rows += [(200 + k, f"W3 {t.upper()}, x") for k, t in items[:40]]
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {}
+    for r in decontam.overlaps(docs.repartition(3), benchmark).collect():
+        got[(r.doc_id, r.item_id)] = (r.first_word, r.last_word, r.matched, r.compared)
+    for k, item in items:
+        own = (item or "").replace("!!", "").split()
+        if not 0 < len(own) < decontam.SHORTEST:
+            assert len(own) >= decontam.SHORTEST or not [g for g in got if g[1] == k]
+            continue
+        for i, text in rows:
+            words = [w.strip(",").lower() for w in text.split()]
+            at = [p for p in range(len(words) - len(own) + 1) if words[p : p + len(own)] == own]
+            want = (at[0], at[-1] + len(own) - 1, len(own), len(own)) if at else None
+            assert got.get((i, k)) == want
+
+
 def test_pipeline_ends(spark, toxic):
     import corpus_pipeline
 
