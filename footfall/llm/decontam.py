@@ -8,7 +8,8 @@ Hits are verified word by word around the hit.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from footfall.llm.common import LOWER, MARKS, bitmap, in_bitmap, mix, owners, pi
 MASKS = ("110101011", "11100001101", "1111011")
 
 STRETCH = 16  # words compared around a hit; a shorter item is compared whole
-SHORTEST = 12  # items with fewer words are no evidence and not searched
+SHORTEST = 12  # items with fewer words must stand in a document whole and unchanged
 TOLERATED = 0.2  # share of a stretch's words that may differ
 FILTER_BITS = 26  # an 8 MB set of the benchmark's hashes; beyond its capacity more hits fail the join
 
@@ -51,8 +52,24 @@ def _seeds(words: np.ndarray, pointers: np.ndarray) -> Iterator[tuple[np.ndarray
         yield first, mix(value), span
 
 
-def _hits(batches: Iterator[pa.RecordBatch], id_name: str, wanted: np.ndarray | None, shortest: int) -> Iterator[pa.RecordBatch]:
-    """A row for every seed (that is in ``wanted``), with the words around it as 32-bit hashes."""
+def _wholes(words: np.ndarray, pointers: np.ndarray, sizes: Sequence[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """The same for runs of words, all of them compared, of the given sizes."""
+    text = owners(pointers)
+    for size in sizes:
+        if len(words) >= size:
+            first = np.flatnonzero(text[: len(words) - size + 1] == text[size - 1 :])
+            value = np.full(len(first), 100 + size, np.uint64)
+            for i in range(size):
+                value = value * np.uint64(0x9E3779B97F4A7C15) + words[first + i]
+            yield first, mix(value), size
+
+
+def _hits(batches: Iterator[pa.RecordBatch], id_name: str, wanted: np.ndarray | None, sizes: Sequence[int]) -> Iterator[pa.RecordBatch]:
+    """A row for every seed (that is in ``wanted``), with the words around it as 32-bit hashes.
+
+    ``sizes`` are those of short items. Without ``wanted`` the texts are items: a short one is taken
+    whole, a longer one under the masks.
+    """
     for batch in batches:
         for row, end, data, offsets in pieces(batch.column("text")):
             data = LOWER[data]
@@ -60,10 +77,12 @@ def _hits(batches: Iterator[pa.RecordBatch], id_name: str, wanted: np.ndarray |
             words = word_hashes(data, starts, ends)
             small = (words >> np.uint64(32)).astype(np.uint32).view(np.int32)
             text = owners(pointers)
-            for first, value, span in _seeds(words, pointers):
-                good = np.diff(pointers)[text[first]] >= shortest
+            counts = np.diff(pointers)
+            for first, value, span in itertools.chain(_seeds(words, pointers), _wholes(words, pointers, sizes)):
                 if wanted is not None:
-                    good &= in_bitmap(wanted, value, FILTER_BITS)
+                    good = in_bitmap(wanted, value, FILTER_BITS)
+                else:
+                    good = np.where(counts[text[first]] < SHORTEST, span == counts[text[first]], span < SHORTEST)
                 first, value = first[good], value[good]
                 own = text[first]
                 low = np.maximum(first - _SIDE, pointers[own])
@@ -77,7 +96,7 @@ def _hits(batches: Iterator[pa.RecordBatch], id_name: str, wanted: np.ndarray |
                     yield record(
                         _SEEDS, h=signed(value[part]), id=batch.column(id_name)[row:end].take(pick), tie=batch.column("tie")[row:end].take(pick),
                         pos=(first - pointers[own])[part].astype(np.int32), lead=(first - low)[part].astype(np.int32),
-                        total=np.diff(pointers)[own][part].astype(np.int32),
+                        total=counts[own][part].astype(np.int32),
                         words=pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(small[inner])),
                     )
 
@@ -85,40 +104,53 @@ def _hits(batches: Iterator[pa.RecordBatch], id_name: str, wanted: np.ndarray |
 def stretch(total: int) -> tuple[int, int]:
     """Words compared for an item of ``total`` words, and how many of them must be equal."""
     size = min(STRETCH, total)
-    return size, size - int(TOLERATED * size)
+    return size, size - int(TOLERATED * size) if total >= SHORTEST else size
+
+
+_WIDTH = 2 * _SIDE + max(map(len, MASKS)) + SHORTEST  # words on either side of a hit, and its span
+
+
+def _aligned(words: pa.Array, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One row of words per hit, the hit's first word in column ``_SIDE``; and where there are words."""
+    offsets = words.offsets.to_numpy() - words.offsets[0].as_py()
+    sizes = np.diff(offsets)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    column = np.arange(offsets[-1]) - np.repeat(offsets[:-1] + lead, sizes) + _SIDE
+    out, there = np.zeros((len(sizes), _WIDTH), np.int32), np.zeros((len(sizes), _WIDTH), bool)
+    out[row, column] = words.flatten().to_numpy()
+    there[row, column] = True
+    return out, there
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The stretches around each hit in which enough words are equal. All hits of a batch are compared together."""
     for batch in batches:
-        own, other = batch.column("words"), batch.column("item_words")
-        a, b = own.flatten().to_numpy(), other.flatten().to_numpy()
-        at_a, at_b = own.offsets.to_numpy() - own.offsets[0].as_py(), other.offsets.to_numpy() - other.offsets[0].as_py()
-        lead_a, lead_b = batch.column("lead").to_numpy(), batch.column("item_lead").to_numpy()
+        if not batch.num_rows:
+            continue
+        x, x_there = _aligned(batch.column("words"), batch.column("lead").to_numpy())
+        y, y_there = _aligned(batch.column("item_words"), batch.column("item_lead").to_numpy())
+        both = x_there & y_there
+        none = np.zeros((len(x), 1), np.int32)
+        equal = np.concatenate([none, np.cumsum(both & (x == y), axis=1)], axis=1)
+        inside = np.concatenate([none, np.cumsum(both, axis=1)], axis=1)
         pos, totals = batch.column("pos").to_numpy(), batch.column("item_total").to_numpy()
-        rows, firsts, lasts, most, sizes = [], [], [], [], []
-        for i in range(batch.num_rows):
-            before = min(lead_a[i], lead_b[i])
-            x = a[at_a[i] + lead_a[i] - before : at_a[i + 1]]
-            y = b[at_b[i] + lead_b[i] - before : at_b[i + 1]]
-            shared = min(len(x), len(y))
-            size, needed = stretch(int(totals[i]))
-            if shared < size:
+        for total in np.unique(np.minimum(totals, STRETCH)).tolist():
+            rows = np.flatnonzero(np.minimum(totals, STRETCH) == total)
+            size, needed = stretch(total)
+            matched = equal[rows, size:] - equal[rows, :-size]
+            good = (matched >= needed) & (inside[rows, size:] - inside[rows, :-size] == size)
+            hit = np.flatnonzero(good.any(axis=1))
+            if not len(hit):
                 continue
-            sums = np.concatenate([[0], np.cumsum(x[:shared] == y[:shared])])
-            equal = sums[size:] - sums[:-size]
-            good = np.flatnonzero(equal >= needed)
-            if len(good):
-                start = int(pos[i] - before)
-                rows.append(i)
-                firsts.append(start + int(good[0]))
-                lasts.append(start + int(good[-1]) + size - 1)
-                most.append(int(equal[good].max()))
-                sizes.append(size)
-        pick = pa.array(rows, pa.int32())
-        yield record(
-            _FOUND, id=batch.column("id").take(pick), tie=batch.column("tie").take(pick), item_id=batch.column("item_id").take(pick),
-            first=firsts, last=lasts, matched=most, compared=sizes,
-        )
+            rows, good, matched = rows[hit], good[hit], matched[hit]
+            first = good.argmax(axis=1)
+            last = good.shape[1] - 1 - good[:, ::-1].argmax(axis=1) + size - 1
+            pick = pa.array(rows)
+            yield record(
+                _FOUND, id=batch.column("id").take(pick), tie=batch.column("tie").take(pick), item_id=batch.column("item_id").take(pick),
+                first=pos[rows] + first - _SIDE, last=pos[rows] + last - _SIDE, matched=np.where(good, matched, 0).max(axis=1),
+                compared=np.full(len(rows), size, np.int32),
+            )
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -126,17 +158,19 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Words are runs of letters and digits, ASCII lower-cased. They overlap if some ``STRETCH`` words
     of the item (all, if it has fewer) stand in the document in one piece, with at most a fifth of
-    them substituted. ``first_word`` and ``last_word`` enclose all such stretches of the document,
-    ``matched`` is the largest number of equal words among the ``compared`` ones. Items under
-    ``SHORTEST`` words, null and empty texts match nothing; null ids are ids like any other.
+    them substituted; an item under ``SHORTEST`` words must stand there whole and unchanged. ``first_word`` and ``last_word`` enclose all such stretches of the document,
+    ``matched`` is the largest number of equal words among the ``compared`` ones. Null
+    texts and texts without a word match nothing; null ids are ids like any other.
     Repeated rows give one row; different texts under one doc_id are kept apart by ``tie``, a hash
     of the text. Other columns are not looked at.
     """
     context = docs.sparkSession.sparkContext
     tie = F.xxhash64("text").alias("tie")
-    items = benchmark.select("item_id", "text", tie).mapInArrow(lambda b: _hits(b, "item_id", None, SHORTEST), _SEEDS_SQL)
+    every = range(1, SHORTEST)
+    items = benchmark.select("item_id", "text", tie).mapInArrow(lambda b: _hits(b, "item_id", None, every), _SEEDS_SQL)
+    short = sorted(r.total for r in items.where(F.col("total") < SHORTEST).select("total").distinct().collect())  # fewer than SHORTEST
     wanted = context.broadcast(bitmap(items.select("h"), "h", FILTER_BITS))
-    hits = docs.select("doc_id", "text", tie).mapInArrow(lambda b: _hits(b, "doc_id", wanted.value, 1), _SEEDS_SQL)
+    hits = docs.select("doc_id", "text", tie).mapInArrow(lambda b: _hits(b, "doc_id", wanted.value, short), _SEEDS_SQL)
     items = items.select(
         "h", F.col("id").alias("item_id"), F.col("lead").alias("item_lead"), F.col("total").alias("item_total"), F.col("words").alias("item_words")
     )
