@@ -44,6 +44,8 @@ def scan_groups(
     row); ``running`` maps new names to ``("sum" | "bit_xor", column)`` over the
     rows up to this one (NULL counts as 0).
     """
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true") != "true":
+        raise ValueError("rows and carried totals must read one shuffle: spark.sql.exchange.reuse has to be on")
     lags, running = dict(lags or {}), dict(running or {})
     group = ", ".join(f"`{k}`" for k in keys)
     sequence = ", ".join(f"`{o}`" for o in order)
