@@ -151,6 +151,36 @@ FROM worded LEFT JOIN kept USING (doc_id)
 """
 
 
+# Every shift of an item along a document that leaves enough words equal, and its stretches of 16 words (or of the whole item).
+_DECONTAMINATION = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark
+), sized AS MATERIALIZED (
+    SELECT item_id, w, least(16, len(w)) AS size, CASE WHEN len(w) < 12 THEN len(w) ELSE least(16, len(w)) - least(16, len(w)) // 5 END AS needed FROM items WHERE len(w) > 0
+), placed AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs
+), asked AS (
+    SELECT item_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM sized
+), shifts AS (
+    SELECT doc_id, item_id, p - j AS shift FROM placed JOIN asked USING (word) JOIN sized USING (item_id)
+    GROUP BY doc_id, item_id, p - j, needed HAVING count(*) >= needed
+), aligned AS MATERIALIZED (
+    SELECT s.doc_id, s.item_id, shift, size, needed, len(d.w) AS n,
+           list_transform(range(1, len(i.w) + 1), lambda j: CASE WHEN shift + j >= 1 AND d.w[shift + j] = i.w[j] THEN 1 ELSE 0 END) AS same
+    FROM shifts AS s JOIN docs AS d ON d.doc_id = s.doc_id JOIN sized AS i ON i.item_id = s.item_id
+), stretches AS (
+    SELECT doc_id, item_id, size, needed, n, shift, same, unnest(range(1, len(same) - size + 2)) AS j FROM aligned
+), good AS (
+    SELECT doc_id, item_id, size, shift + j - 1 AS first, list_sum(same[j : j + size - 1]) AS matched FROM stretches
+    WHERE shift + j >= 1 AND shift + j + size - 1 <= n AND list_sum(same[j : j + size - 1]) >= needed
+)
+SELECT doc_id, item_id, CAST(min(first) AS INTEGER) AS first_word, CAST(max(first + size - 1) AS INTEGER) AS last_word,
+       CAST(max(matched) AS INTEGER) AS matched, CAST(max(size) AS INTEGER) AS compared
+FROM good GROUP BY doc_id, item_id
+"""
+
 # A node is known by the hashes of its turns, joined; its ancestors are those of its smallest member.
 _PREFIXES = """
 WITH RECURSIVE steps AS (
@@ -250,5 +280,5 @@ FROM formed AS f LEFT JOIN ends AS e USING (word)
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_line_dedup": _LINE_DEDUP, "op8_sharding": _SHARDING, "op9_substring_dedup": _SUBSTRINGS,
-        "op12_prefix_trie": _PREFIXES, "op13_spelling_variants": _SPELLING,
+        "op10_decontamination": _DECONTAMINATION, "op12_prefix_trie": _PREFIXES, "op13_spelling_variants": _SPELLING,
     }

@@ -230,8 +230,8 @@ def test_edit_distance_and_segments():
                 assert (linededup.bag(x) ^ linededup.bag(y)).bit_count() <= 2 * k
 
 
-@pytest.mark.parametrize("edits", [1, 2])
-def test_near_lines_against_all_pairs(spark, edits):
+@pytest.mark.parametrize("edits,hot", [(1, linededup.HOT), (1, 3), (1, 10), (2, 3)])
+def test_near_lines_against_all_pairs(spark, edits, hot):
     """The whole operator, also at two edits: no near line is missed, and none is removed without one."""
     rng = random.Random(edits)
     bases = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(20, 30))) for _ in range(25)]
@@ -246,7 +246,7 @@ def test_near_lines_against_all_pairs(spark, edits):
             lines.append("".join(line))
         rows.append((i, "\n".join([*lines, "short"])))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = {r.doc_id: r.text for r in linededup.deduplicate(docs, edits).collect()}
+    got = {r.doc_id: r.text for r in linededup.deduplicate(docs, edits, hot=hot).collect()}
     firsts = {}
     for i, text in rows:
         for n, line in enumerate(text.split("\n")):
@@ -259,6 +259,29 @@ def test_near_lines_against_all_pairs(spark, edits):
     assert 5 < len(gone) < len(firsts)
 
 
+def test_a_template_is_split(spark):
+    """Very many lines that share most of their text, in small Arrow batches: groups go over batch borders."""
+    rng = random.Random(6)
+    numbers = rng.sample(range(10**6), 6000)
+    lines = [f"the request was served by host number {n:06d} at noon" for n in numbers]
+    lines += [f"a{rng.random()} the request was served by nobody" for _ in range(500)]
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "doc_id long, text string").repartition(6)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        got = {r.doc_id for r in linededup.deduplicate(docs, hot=500).where("text = ''").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    seen, want = {}, set()
+    for i, n in enumerate(numbers):
+        digits = f"{n:06d}"
+        masked = [digits[:k] + "?" + digits[k + 1 :] for k in range(6)]
+        if any(m in seen for m in masked):
+            want.add(i)
+        seen |= dict.fromkeys(masked, i)
+    assert got == want and len(want) > 50
+
+
 def test_optimal_buckets():
     rng = np.random.default_rng(0)
     for _ in range(150):
@@ -298,6 +321,32 @@ def test_decision_list():
     assert [cell for cell, k in kept.items() if not k] == [(1, 0), (1, 2)]
 
 
+def test_kept_follows_the_learned_list(spark):
+    """``kept`` again by walking the list in plain Python, and what it does to labelled documents."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    rules = quality.learn(quality.statistics(docs), labels)
+    got = {r.doc_id: r for r in quality.judge(docs, labels).collect()}
+
+    def value(row, feature):
+        over, under = quality.FEATURES[feature].split(" / ")
+        return row[over] / row[under]
+
+    for row in got.values():
+        assert row.base_failed == (row.n_words < 50 or 100 * row.n_repeat_words > 50 * row.n_words)
+        want = not row.base_failed
+        if want:
+            for rule in rules:
+                if all((value(row, c.feature) > c.threshold) == c.above for c in rule.conditions):
+                    want = bool(rule.label)
+                    break
+        assert row.kept == want
+    marks = {r.doc_id: r.quality for r in labels.where("quality is not null").collect()}
+    judged = [(got[i].kept, q) for i, q in marks.items() if not got[i].base_failed]
+    bad, good = [not k for k, q in judged if q == 0], [k for k, q in judged if q == 1]
+    assert rules and sum(bad) >= 0.9 * len(bad) and sum(good) >= 0.98 * len(good)
+
+
 def test_no_python_in_native_operators(spark):
     for name in ("op6_quality_rules", "op8_sharding"):
         plan = queries()[name](spark, SMALL)._jdf.queryExecution().toString()
