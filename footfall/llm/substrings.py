@@ -38,7 +38,7 @@ _RESOLVED = pa.schema([
     ("hashes", pa.binary()), ("source_id", pa.int64()), ("source_start", pa.int32()),
 ])
 _RESOLVED_SQL = "anchor long, doc_id long, tie int, start int, words int, hashes binary, source_id long, source_start int"
-_BYTES = 6  # of a window's hash in a row, beside the 64 bits of its anchor
+_BYTES = 8  # of a window's hash in a row, beside the 64 bits of its anchor
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string())])
 
 
@@ -156,7 +156,7 @@ def factors(docs: DataFrame, size: int = WINDOW, seed: int = SEED) -> DataFrame:
     """doc_id, tie, start, words, source_id, source_start: stretches whose every window of ``size`` words starts earlier at the source.
 
     Earlier is a smaller (doc_id, hash of the text ``tie``), or the same and an earlier start; a
-    null doc_id comes first. ``tie`` matters only where rows share an id. Windows are told apart by the 64 bits of their anchor and 48 of their own.
+    null doc_id comes first. ``tie`` matters only where rows share an id. Windows are told apart by the 64 bits of their anchor and 64 of their own.
     """
     keyed = docs.select("doc_id", "text", F.hash("text").alias("tie"))
 
@@ -207,9 +207,18 @@ def remove(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     A null doc_id comes before all others. Other columns are not looked at.
     """
     spans = factors(docs, size).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("start", "words")).alias("spans"))
-    spans = spans.select(F.col("doc_id").alias("id"), F.col("tie").alias("own"), "spans")
+    spans = stored(spans.select(F.col("doc_id").alias("id"), F.col("tie").alias("own"), "spans"), "spans")
     keyed = docs.select("doc_id", "text", F.hash("text").alias("tie"))
-    joined = keyed.join(spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("own")), "left").select("doc_id", "text", "spans")
+    # Only texts that can have factors are shuffled to them: a set of documents in 2^18 rows at most.
+    members = spans.select(F.shiftrightunsigned(F.xxhash64("id", "own"), 40).alias("slot"))
+    members = members.groupBy(F.expr("shiftrightunsigned(slot, 6) as word")).agg(F.expr("bit_or(shiftleft(1L, int(slot & 63))) as bits"))
+    slotted = keyed.withColumn("slot", F.shiftrightunsigned(F.xxhash64("doc_id", "tie"), 40))
+    marked = slotted.join(F.broadcast(members), F.shiftrightunsigned("slot", 6) == F.col("word"), "left")
+    marked = marked.withColumn("maybe", F.expr("coalesce(shiftrightunsigned(bits, int(slot & 63)) & 1 = 1, false)"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("own"))
+    joined = marked.where("maybe").join(spans, same, "left").select("doc_id", "text", "spans")
+    alone = marked.where("not maybe").select("doc_id", "text", F.lit(None).cast(joined.schema["spans"].dataType).alias("spans"))
+    joined = joined.union(alone)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
