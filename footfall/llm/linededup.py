@@ -4,6 +4,11 @@ A line is cut into ``edits + 1`` segments. Of two lines within the distance, one
 segment of the other unchanged and near its place; so each line is indexed under its segments,
 and looks up, for every length a partner may have, the substrings that can match. Pairs that
 meet are verified with a banded bit-parallel edit distance.
+
+A segment that very many different lines share (a template) would put them all into one task and
+compare all with all. Such a group is put off and split by a second segment: lines within one edit
+that share a part of the line exactly also share, exactly, one half of the rest. That is repeated,
+round by round, while groups are too large; the rest gets shorter by half each time.
 """
 
 from __future__ import annotations
@@ -11,6 +16,7 @@ from __future__ import annotations
 import functools
 import itertools
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +24,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import PIECE_BYTES, Recent, bitmap, in_bitmap, pieces, record, signed, stored
+from footfall.llm.common import PIECE_BYTES, Recent, bitmap, frugal, in_bitmap, pieces, record, signed, stored
 
 EDITS = 1
 MIN_CHARS = 20  # shorter lines are never duplicates
 FILTER_BITS = 24
+HOT = 4096  # rows of a larger group are split further; the result is the same
+_LEAST_REST = 3  # characters of a rest that is still split
 
 _LINES = pa.schema([("h", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("line", pa.int32())])
 _KEYS = pa.schema([("key", pa.int64()), ("h", pa.int64()), ("bag", pa.int64())])
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("off", pa.bool_())])  # put off: line, key
 _TEXTS = pa.schema([("h", pa.int64()), ("content", pa.string())])
 
 
@@ -69,6 +78,41 @@ def _keys(length: int, edits: int, shortest: int) -> tuple[list[tuple[int, int,
     return parts, np.array([number[part] for part, _ in rows]), np.array([role for _, role in rows], np.int64)
 
 
+class Part(NamedTuple):
+    """A line in a group: the key, its role (0 indexed, 1 looking), and the rest that is not shared yet."""
+
+    key: int
+    role: int
+    start: int
+    end: int  # of the rest, in this line
+    length: int  # of the rest, in the indexed lines
+
+
+def first_parts(line: str, shortest: int) -> list[Part]:
+    """The groups of a line at one edit, keys as in :func:`_keys`: one half is shared, the other is the rest."""
+    out, own = [], len(line)
+    for other, role in [(own, 0), *((n, 1) for n in range(max(shortest, own - 1), own + 1))]:
+        for i, (at, size) in enumerate(segments(other, 1)):
+            at += i * (own - other)
+            key = xxhash.xxh64_intdigest(line[at : at + size], other << 8 | i)
+            rest = (at + size, own) if i == 0 else (0, at)
+            out.append(Part(key, role, *rest, other - size))
+    return out
+
+
+def halves(line: str, part: Part) -> list[Part]:
+    """The groups into which a group is split: a half of the rest is shared as well, at its beginning or at its end."""
+    left, right = part.length // 2, part.length - part.length // 2
+    out = []
+    for which, (a, b), rest, size in (
+        (0, (part.start, part.start + left), (part.start + left, part.end), right),
+        (1, (part.end - right, part.end), (part.start, part.end - right), left),
+    ):
+        key = xxhash.xxh64_intdigest(line[a:b], part.key ^ which)
+        out.append(Part(key, part.role, *rest, size))
+    return out
+
+
 def bags(lines: list[str]) -> np.ndarray:
     """For every (not empty) line 31 parities of the characters' numbers of occurrences; an edit changes two at most."""
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
@@ -125,7 +169,8 @@ def _identity(line: bytes) -> tuple[int, int]:
 
 
 def _meet(keys: np.ndarray, hashes: np.ndarray, bags: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one indexed and one looking line with equal keys and close bags; the lowest bit of a bag is the role."""
+    """Pairs of one indexed and one looking line with equal keys and close bags; the two lowest bits of a bag are
+    its role and whether the group can be split, which is the same for all of it."""
     borders = np.flatnonzero(np.diff(keys)) + 1
     starts = np.concatenate([[0], borders])
     sizes = np.diff(np.concatenate([starts, [len(keys)]]))
@@ -135,7 +180,7 @@ def _meet(keys: np.ndarray, hashes: np.ndarray, bags: np.ndarray, most: int) ->
         at = at[at + shift < len(keys)]
         at = at[keys[at + shift] == keys[at]]
         apart = bags[at] ^ bags[at + shift]
-        hit = at[(apart & 1 == 1) & (np.bitwise_count(apart >> 1) <= most) & (hashes[at] != hashes[at + shift])]
+        hit = at[(apart & 1 == 1) & (np.bitwise_count(apart >> 2) <= most) & (hashes[at] != hashes[at + shift])]
         if len(hit):
             yield hashes[hit], hashes[hit + shift]
         shift += 1
@@ -144,14 +189,27 @@ def _meet(keys: np.ndarray, hashes: np.ndarray, bags: np.ndarray, most: int) ->
         indexed, looking = np.flatnonzero(own & 1 == 0), np.flatnonzero(own & 1)
         for block in range(0, len(looking), 256):
             some = looking[block : block + 256]
-            close = np.bitwise_count((own[some][:, None] ^ own[indexed][None, :]) >> 1) <= most
+            close = np.bitwise_count((own[some][:, None] ^ own[indexed][None, :]) >> 2) <= most
             x, y = np.nonzero(close & (group[some][:, None] != group[indexed][None, :]))
             if len(x):
                 yield group[some[x]], group[indexed[y]]
 
 
-def similar(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS) -> DataFrame:
-    """Pairs ``a < b`` of hashes of different lines within the edit distance."""
+def _too_large(keys: np.ndarray, bags: np.ndarray, hot: int) -> np.ndarray:
+    """Places of the rows of groups that have more than ``hot`` rows and can be split."""
+    borders = np.flatnonzero(np.diff(keys)) + 1
+    starts = np.concatenate([[0], borders])
+    sizes = np.diff(np.concatenate([starts, [len(keys)]]))
+    large = (sizes > hot) & (bags[starts] & 2 > 0)
+    return np.flatnonzero(np.repeat(large, sizes)) if large.any() else np.empty(0, np.int64)
+
+
+def similar(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
+    """Pairs ``a < b`` of hashes of different lines within the edit distance.
+
+    At one edit, groups of more than ``hot`` rows are split in further rounds; the driver sees whether
+    there are any, and their keys and lines as sets of fixed size. At more edits they stay whole.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent = Recent()
@@ -181,9 +239,33 @@ def similar(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS) -> D
             sizes.append(len(role))
             digests += [xxhash.xxh64_intdigest(content[a:b], seed) for a, b, seed in parts]
         keys = np.array(digests, np.uint64)[np.concatenate(picks)]
-        own = np.repeat(bags(lines), sizes) << 1 | np.concatenate(roles)
+        own = np.repeat(bags(lines), sizes) << 2 | np.concatenate(roles) | 2 * (edits == 1)
         return record(_KEYS, key=signed(keys), h=np.repeat(np.array(hashes, np.int64), sizes), bag=own)
 
+    def split(hot_lines: np.ndarray, hot_keys: list[np.ndarray]):
+        """Rows of the groups that the last of ``hot_keys`` are split into, for the lines in them."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            recent = Recent()
+            for batch in batches:
+                rows = []
+                for _, _, content, line in _eligible(batch, shortest):
+                    h = _identity(line)[0]
+                    own = np.array([h], np.int64).view(np.uint64)
+                    if not in_bitmap(hot_lines, own, FILTER_BITS)[0] or not len(recent.new(own)):
+                        continue
+                    parts = first_parts(content, shortest)
+                    for keys in hot_keys:
+                        found = in_bitmap(keys, np.array([p.key for p in parts], np.uint64), FILTER_BITS) if parts else []
+                        parts = [half for p, hit in zip(parts, found, strict=True) if hit and p.length >= _LEAST_REST for half in halves(content, p)]
+                    mark = bag(content) << 2
+                    rows += [(_long(p.key), h, mark | p.role | 2 * (p.length >= _LEAST_REST)) for p in parts]
+                if rows:
+                    key, h, own = zip(*rows, strict=True)
+                    yield record(_KEYS, key=key, h=h, bag=own)
+
+        return run
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [np.empty(0, np.int64)] * 3
         for batch in itertools.chain(batches, [None]):
@@ -192,16 +274,41 @@ def similar(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS) -> D
                 whole = int(np.searchsorted(kept[0], kept[0][-1])) if len(kept[0]) else 0  # the last group may go on
             else:
                 whole = len(kept[0])
-            if whole:
-                for a, b in _meet(*(k[:whole] for k in kept), 2 * edits):
-                    yield record(_PAIRS, a=np.minimum(a, b), b=np.maximum(a, b))
-            kept = [k[whole:] for k in kept]
-
-    keys = docs.select("text").mapInArrow(cut, "key long, h long, bag long")
-    pairs = keys.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long").distinct()
-    pairs = stored(pairs, "pairs")
+            if not len(kept[0]):
+                continue
+            # Rows of a group that is too large already are put off now; some stay, to tell what follows.
+            off = _too_large(kept[0], kept[2], hot)
+            for at in range(0, len(off), 1 << 16):
+                part = off[at : at + (1 << 16)]
+                yield record(_MET, a=kept[1][part], b=kept[0][part], off=np.ones(len(part), bool))
+            ready = np.ones(whole, bool)
+            ready[off[off < whole]] = False
+            if ready.any():
+                for a, b in _meet(*(k[:whole][ready] for k in kept), 2 * edits):
+                    yield record(_MET, a=np.minimum(a, b), b=np.maximum(a, b), off=np.zeros(len(a), bool))
+            if whole < len(kept[0]) and len(off) and off[-1] >= whole:  # of a group that goes on, hot + 1 rows say enough
+                kept = [k[len(k) - hot - 1 :] for k in kept]
+            else:
+                kept = [k[whole:] for k in kept]
+
+    def met(keys: DataFrame) -> DataFrame:
+        dealt = keys.repartition("key").sortWithinPartitions("key")
+        return stored(dealt.mapInArrow(frugal(meet), "a long, b long, off boolean").distinct(), "met")
+
+    context = docs.sparkSession.sparkContext
+    rounds = [met(docs.select("text").mapInArrow(frugal(cut), "key long, h long, bag long"))]
+    hot_keys: list[np.ndarray] = []
+    while not (late := rounds[-1].where("off").select(F.col("a").alias("h"), F.col("b").alias("key"))).isEmpty():
+        hot_keys.append(bitmap(late, "key", FILTER_BITS))
+        shared = context.broadcast((bitmap(late, "h", FILTER_BITS), list(hot_keys)))
+        rounds.append(met(docs.select("text").mapInArrow(frugal(lambda b, shared=shared: split(*shared.value)(b)), "key long, h long, bag long")))
+    pairs = rounds[0].where("not off").select("a", "b")
+    for later in rounds[1:]:
+        pairs = pairs.union(later.where("not off").select("a", "b"))
+    if len(rounds) > 1:
+        pairs = stored(pairs.distinct(), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("h"))
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids, "h", FILTER_BITS))
+    wanted = context.broadcast(bitmap(ids, "h", FILTER_BITS))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent = Recent()
@@ -220,7 +327,7 @@ def similar(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS) -> D
                         yield record(_TEXTS, h=[hashes[i] for i in new], content=[lines[i] for i in new])
                     hashes, lines, held = [], [], 0
 
-    texts = docs.select("text").mapInArrow(fetch, "h long, content string").join(ids.distinct(), "h", "left_semi").distinct()
+    texts = docs.select("text").mapInArrow(frugal(fetch), "h long, content string").join(ids.distinct(), "h", "left_semi").distinct()
     left = texts.select(F.col("h").alias("a"), F.col("content").alias("x"))
     right = texts.select(F.col("h").alias("b"), F.col("content").alias("y"))
 
@@ -230,10 +337,10 @@ def similar(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS) -> D
             good = pa.array([within(p, q, edits) for p, q in zip(x, y, strict=True)], pa.bool_())
             yield batch.select(["a", "b"]).filter(good)
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long").distinct()
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(frugal(verify), "a long, b long").distinct()
 
 
-def deduplicate(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS) -> DataFrame:
+def deduplicate(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
     """The documents, all columns, with ``text`` less its duplicate lines (and ``n_chars``, if there, counted anew).
 
     A line (between line feeds, ``shortest`` characters or more) goes if it has occurred before, or
@@ -254,11 +361,11 @@ def deduplicate(docs: DataFrame, edits: int = EDITS, shortest: int = MIN_CHARS)
                 pick = pa.array(at)
                 yield record(_LINES, h=h, h2=h2, doc_id=batch.column("doc_id").take(pick), tie=batch.column("tie").take(pick), line=number)
 
-    lines = keyed.select("doc_id", "text", "tie").mapInArrow(list_lines, "h long, h2 long, doc_id long, tie long, line int")
+    lines = keyed.select("doc_id", "text", "tie").mapInArrow(frugal(list_lines), "h long, h2 long, doc_id long, tie long, line int")
     lines = stored(lines, "lines")
     place = F.struct("doc_id", "tie", "line")
     firsts = lines.groupBy("h", "h2").agg(F.min(place).alias("first"))
-    links = similar(docs.select("text"), edits, shortest)
+    links = similar(docs.select("text"), edits, shortest, hot)
     by_hash = firsts.groupBy("h").agg(F.min("first").alias("first"))
     one, two = by_hash.toDF("a", "first_a"), by_hash.toDF("b", "first_b")
     later = links.join(one, "a").join(two, "b").select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("h"))
