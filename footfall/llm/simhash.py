@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import LOWER_BYTES, pieces, record, signed, stored
+from footfall.llm.common import LOWER_BYTES, frugal, pieces, record, signed, stored
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
                 ids, ties = batch.column("doc_id")[row:end], batch.column("tie")[row:end]
                 yield record(_FINGERPRINTS, doc_id=ids, tie=ties, fp=signed(majority_bits(hashes, counts)))
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).mapInArrow(run, "doc_id long, tie long, fp long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).mapInArrow(frugal(run), "doc_id long, tie long, fp long")
 
 
 class _Forest:
@@ -215,7 +215,7 @@ def links(points: DataFrame, radius: int = DISTANCE) -> DataFrame:
             kept_keys, kept = kept_keys[whole:], kept[whole:]
 
     shards = points.select("fp", F.explode(F.array(*map(F.expr, keys))).alias("key"))
-    return shards.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "a long, b long").distinct()
+    return shards.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(frugal(run), "a long, b long").distinct()
 
 
 def connected(edges: DataFrame, label: str = "components") -> DataFrame:
