@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import LOWER, MARKS, bitmap, in_bitmap, mix, owners, pieces, record, signed, split_words, word_hashes
+from footfall.llm.common import LOWER, MARKS, bitmap, frugal, in_bitmap, mix, owners, pieces, record, signed, split_words, word_hashes
 
 # A one is a word that is compared.
 MASKS = ("110101011", "11100001101", "1111011")
@@ -78,20 +78,23 @@ def _hits(batches: Iterator[pa.RecordBatch], id_name: str, wanted: np.ndarray |
             small = (words >> np.uint64(32)).astype(np.uint32).view(np.int32)
             text = owners(pointers)
             counts = np.diff(pointers)
-            for first, value, span in itertools.chain(_seeds(words, pointers), _wholes(words, pointers, sizes)):
+            masked = ((*seed, False) for seed in _seeds(words, pointers))
+            wholes = ((*seed, True) for seed in _wholes(words, pointers, sizes))
+            for first, value, span, whole in itertools.chain(masked, wholes):
+                total = counts[text[first]]
                 if wanted is not None:
                     good = in_bitmap(wanted, value, FILTER_BITS)
                 else:
-                    good = np.where(counts[text[first]] < SHORTEST, span == counts[text[first]], span < SHORTEST)
+                    good = total == span if whole else total >= SHORTEST
                 first, value = first[good], value[good]
                 own = text[first]
                 low = np.maximum(first - _SIDE, pointers[own])
                 high = np.minimum(first + span + _SIDE, pointers[own + 1])
                 for at in range(0, len(first), 20_000):
                     part = slice(at, at + 20_000)
-                    sizes = (high - low)[part]
-                    borders = np.concatenate([[0], np.cumsum(sizes)])
-                    inner = np.arange(borders[-1]) - np.repeat(borders[:-1], sizes) + np.repeat(low[part], sizes)
+                    widths = (high - low)[part]
+                    borders = np.concatenate([[0], np.cumsum(widths)])
+                    inner = np.arange(borders[-1]) - np.repeat(borders[:-1], widths) + np.repeat(low[part], widths)
                     pick = pa.array(own[part])
                     yield record(
                         _SEEDS, h=signed(value[part]), id=batch.column(id_name)[row:end].take(pick), tie=batch.column("tie")[row:end].take(pick),
@@ -167,15 +170,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     context = docs.sparkSession.sparkContext
     tie = F.xxhash64("text").alias("tie")
     every = range(1, SHORTEST)
-    items = benchmark.select("item_id", "text", tie).mapInArrow(lambda b: _hits(b, "item_id", None, every), _SEEDS_SQL)
+    items = benchmark.select("item_id", "text", tie).mapInArrow(frugal(lambda b: _hits(b, "item_id", None, every)), _SEEDS_SQL)
     short = sorted(r.total for r in items.where(F.col("total") < SHORTEST).select("total").distinct().collect())  # fewer than SHORTEST
     wanted = context.broadcast(bitmap(items.select("h"), "h", FILTER_BITS))
-    hits = docs.select("doc_id", "text", tie).mapInArrow(lambda b: _hits(b, "doc_id", wanted.value, short), _SEEDS_SQL)
+    hits = docs.select("doc_id", "text", tie).mapInArrow(frugal(lambda b: _hits(b, "doc_id", wanted.value, short)), _SEEDS_SQL)
     items = items.select(
         "h", F.col("id").alias("item_id"), F.col("lead").alias("item_lead"), F.col("total").alias("item_total"), F.col("words").alias("item_words")
     )
     met = hits.join(items, "h").select("id", "tie", "item_id", "pos", "lead", "words", "item_lead", "item_total", "item_words")
-    found = met.mapInArrow(_verify, "id long, tie long, item_id long, first int, last int, matched int, compared int")
+    found = met.mapInArrow(frugal(_verify), "id long, tie long, item_id long, first int, last int, matched int, compared int")
     return found.groupBy(F.col("id").alias("doc_id"), "tie", "item_id").agg(
         F.min("first").alias("first_word"), F.max("last").alias("last_word"), F.max("matched").alias("matched"), F.max("compared").alias("compared")
     )
