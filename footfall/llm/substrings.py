@@ -9,9 +9,10 @@ looked up in the order of the documents; a factor runs on while window and sourc
 Where a factor ends, the windows across the boundary are looked up like all others, so another
 source there starts its own factor.
 
-A block can hold a large share of all text (a passage that every document quotes). So blocks are
-first resolved in ``SALTS`` parts each; a window that is a copy inside its part is settled, and
-at most one for each part goes on to the block as a whole.
+A block can hold a large share of all text (a passage that every document quotes). So blocks with
+many occurrences are first resolved in parts, the more the larger they are; a window that is a copy
+inside its part is settled, and at most one for each part goes on to the block as a whole. All
+others are settled at once.
 """
 
 from __future__ import annotations
@@ -28,11 +29,13 @@ from footfall.llm.common import bitmap, in_bitmap, owners, pieces, record, signe
 
 WINDOW = 20
 SEED = 8
-SALTS = 32
+Cut = tuple[tuple[int, int], ...]
+PARTS: Cut = ((1 << 10, 1 << 5), (1 << 15, 1 << 10), (1 << 20, 1 << 15))  # of a block with more occurrences than the first number
 FILTER_BITS = 26  # an 8 MB set of anchors; beyond its capacity more windows are looked up in vain
+LARGE_BITS = 22  # sets of large blocks' anchors; beyond their capacity more blocks are cut up
 
 _ANCHORS = pa.schema([("anchor", pa.int64()), ("n", pa.int64())])
-_OCCURRENCES = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int32()), ("start", pa.int32()), ("hashes", pa.binary())])
+_OCCURRENCES = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int32()), ("start", pa.int32()), ("parts", pa.int32()), ("hashes", pa.binary())])
 _RESOLVED = pa.schema([
     ("anchor", pa.int64()), ("doc_id", pa.int64()), ("tie", pa.int32()), ("start", pa.int32()), ("words", pa.int32()),
     ("hashes", pa.binary()), ("source_id", pa.int64()), ("source_start", pa.int32()),
@@ -90,7 +93,8 @@ class _Earlier:
 
 
 def _resolve(batches: Iterator[pa.RecordBatch], size: int, survivors: bool) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (anchor, salt, place) -> factors, and the runs of windows without an earlier one (if wanted)."""
+    """Rows sorted by (anchor, salt, place) -> factors, and (if wanted) the runs of windows without an earlier one in
+    blocks that are cut up. The salt of a whole block is -1."""
     held = _Earlier()
     for batch in batches:
         if not batch.num_rows:
@@ -132,8 +136,10 @@ def _resolve(batches: Iterator[pa.RecordBatch], size: int, survivors: bool) -> I
         begins = np.flatnonzero(cut)
         lengths = np.diff(begins, append=len(row))
         for copied in (True, False) if survivors else (True,):
-            pick = begins[(row[begins] >= 0) & (first[begins] != copied)]
-            many = lengths[(row[begins] >= 0) & (first[begins] != copied)]
+            wanted = (row[begins] >= 0) & (first[begins] != copied)
+            if not copied:
+                wanted &= salt[row[begins]] >= 0
+            pick, many = begins[wanted], lengths[wanted]
             if not len(pick):
                 continue
             rows, none = pa.array(row[pick]), pa.nulls(len(pick), pa.int64())
@@ -152,11 +158,12 @@ def _resolve(batches: Iterator[pa.RecordBatch], size: int, survivors: bool) -> I
                 )
 
 
-def factors(docs: DataFrame, size: int = WINDOW, seed: int = SEED) -> DataFrame:
+def factors(docs: DataFrame, size: int = WINDOW, seed: int = SEED, cut: Cut = PARTS) -> DataFrame:
     """doc_id, tie, start, words, source_id, source_start: stretches whose every window of ``size`` words starts earlier at the source.
 
     Earlier is a smaller (doc_id, hash of the text ``tie``), or the same and an earlier start; a
-    null doc_id comes first. ``tie`` matters only where rows share an id. Windows are told apart by the 64 bits of their anchor and 64 of their own.
+    null doc_id comes first. ``cut`` says above how many occurrences a block is resolved in how many
+    parts first; the result does not depend on it. ``tie`` matters only where rows share an id. Windows are told apart by the 64 bits of their anchor and 64 of their own.
     """
     keyed = docs.select("doc_id", "text", F.hash("text").alias("tie"))
 
@@ -169,29 +176,34 @@ def factors(docs: DataFrame, size: int = WINDOW, seed: int = SEED) -> DataFrame:
                     yield record(_ANCHORS, anchor=signed(values), n=n)
 
     met = keyed.select("text").mapInArrow(count, "anchor long, n long")
-    repeated = met.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(repeated, "anchor", FILTER_BITS))
+    repeated = stored(met.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"), "anchors")
+    large = [bitmap(repeated.where(F.col("n") > most), "anchor", LARGE_BITS) for most, _ in cut]
+    shared = docs.sparkSession.sparkContext.broadcast((bitmap(repeated, "anchor", FILTER_BITS), large))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in pieces(batch.column("text")):
                 words, pointers, first, text, anchor, place = _windows(data, offsets, size, seed)
-                hit = in_bitmap(shared.value, anchor, FILTER_BITS)
+                known, large = shared.value
+                hit = in_bitmap(known, anchor, FILTER_BITS)
                 if not hit.any():
                     continue
                 first, text, anchor, place = first[hit], text[hit], anchor[hit], place[hit]
                 begins = np.flatnonzero((np.diff(place, prepend=-1) != 0) | (np.diff(first, prepend=-2) != 1))
                 pick = pa.array(text[begins])
+                parts = np.zeros(len(begins), np.int32)
+                for block, (_, number) in zip(large, cut, strict=True):
+                    parts[in_bitmap(block, anchor[begins], LARGE_BITS)] = number
                 yield record(
                     _OCCURRENCES, anchor=signed(anchor[begins]), doc_id=batch.column("doc_id")[row:end].take(pick),
-                    tie=batch.column("tie")[row:end].take(pick), start=(first - pointers[text])[begins].astype(np.int32),
+                    tie=batch.column("tie")[row:end].take(pick), start=(first - pointers[text])[begins].astype(np.int32), parts=parts,
                     hashes=_packed(window_hashes(words, size)[first], np.diff(begins, append=len(first))),
                 )
 
     order = ["anchor", "salt", "doc_id", "tie", "start"]
     columns = [*order, "hashes"]
-    met = keyed.mapInArrow(look, "anchor long, doc_id long, tie int, start int, hashes binary")
-    met = met.withColumn("salt", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(SALTS)).cast("int")).select(*columns)
+    met = keyed.mapInArrow(look, "anchor long, doc_id long, tie int, start int, parts int, hashes binary")
+    met = met.withColumn("salt", F.expr("if(parts = 0, -1, int(pmod(xxhash64(doc_id, tie), parts)))")).select(*columns)
     parts = met.repartition("anchor", "salt").sortWithinPartitions(*order).mapInArrow(lambda b: _resolve(b, size, True), _RESOLVED_SQL)
     parts = stored(parts, "factors")
     left = parts.where("hashes is not null").withColumn("salt", F.lit(0)).select(*columns)
@@ -199,14 +211,14 @@ def factors(docs: DataFrame, size: int = WINDOW, seed: int = SEED) -> DataFrame:
     return parts.where("hashes is null").union(rest).select("doc_id", "tie", "start", "words", "source_id", "source_start")
 
 
-def remove(docs: DataFrame, size: int = WINDOW) -> DataFrame:
+def remove(docs: DataFrame, size: int = WINDOW, cut: Cut = PARTS) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the text left, words joined by one space) and kept_sha256 of every document.
 
     A word is removed if a factor covers it. Null and empty texts have no words. Repeated rows
     (equal id and text) are one document as far as sources go, and each gets the same result.
     A null doc_id comes before all others. Other columns are not looked at.
     """
-    spans = factors(docs, size).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("start", "words")).alias("spans"))
+    spans = factors(docs, size, cut=cut).groupBy("doc_id", "tie").agg(F.collect_list(F.struct("start", "words")).alias("spans"))
     spans = stored(spans.select(F.col("doc_id").alias("id"), F.col("tie").alias("own"), "spans"), "spans")
     keyed = docs.select("doc_id", "text", F.hash("text").alias("tie"))
     # Only texts that can have factors are shuffled to them: a set of documents in 2^18 rows at most.
