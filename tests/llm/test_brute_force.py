@@ -153,6 +153,16 @@ def test_language_without_letters(spark):
     assert [got[i] for i in (3, 4, 5, 7)] == ["und"] * 4 and got[6] != "und"
 
 
+def test_more_values_of_lang_than_are_learned(spark):
+    rows = [(i, "the cat and the dog", "en") for i in range(5)] + [(10 + i, "der Hund und die Katze", "de") for i in range(5)]
+    rows += [(100 + i, f"dirt {i}", f"value {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs, folds=10**9).collect()}
+    assert got[0] == "en" and got[10] == "de" and len(got) == 310
+    model = language.fit(docs, language.F.lit(True))
+    assert len(model.languages) == language.MAX_LANGUAGES
+
+
 def test_convolution_brute_force():
     """``logits`` against a loop over every window of every text."""
     rng = np.random.default_rng(5)
@@ -448,7 +458,8 @@ def test_score_is_the_sum_of_a_plain_loop(spark, texts):
         assert math.isclose(got[i].bits_per_byte, -want * math.log2(10) / (len(raw) + 1), rel_tol=1e-5)
 
 
-def test_substrings_small_batches(spark):
+@pytest.mark.parametrize("cut", [substrings.PARTS, ((1, 3),), ((2, 2), (9, 5), (30, 40))])
+def test_substrings_small_batches(spark, cut):
     rng = random.Random(3)
     base = [f"w{i}" for i in range(60)]
     rows = []
@@ -462,8 +473,8 @@ def test_substrings_small_batches(spark):
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
     try:
-        got = {r.doc_id: r.kept for r in substrings.remove(docs).collect()}
-        factors = substrings.factors(docs).collect()
+        got = {r.doc_id: r.kept for r in substrings.remove(docs, cut=cut).collect()}
+        factors = substrings.factors(docs, cut=cut).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     seen, words = set(), {i: t.split() for i, t in rows}
