@@ -17,12 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import fold, pieces, record
+from footfall.llm.common import fold, frugal, pieces, record
 
 NGRAMS = (1, 2, 3)
 LOG_BUCKETS = 16
 SMOOTHING = 0.5
-MAX_LANGUAGES = 256  # bounds the broadcast matrix at 2^16 * 256 floats; more is an error
+MAX_LANGUAGES = 256  # bounds the broadcast matrix at 2^16 * 256 floats; of more values the most frequent are learned
 UNKNOWN = "und"
 
 _MAYBE_LETTER = re.compile(r"[^\W\d_]")  # also finds superscripts, fractions and the like
@@ -103,14 +103,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, learn: Column) -> Model:
-    """Learn from all rows where ``learn`` holds, with text and lang. No such row: a model without languages."""
+    """Learn from all rows where ``learn`` holds, with text and lang. No such row: a model without languages.
+
+    Of more than ``MAX_LANGUAGES`` values, only rows of those with most documents are learned from;
+    which these are is known before anything is counted.
+    """
     rows = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    summed = rows.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    rows = rows.where(F.col("lang").isin([row["lang"] for row in frequent]))
+    summed = rows.mapInArrow(frugal(_count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = summed.toArrow()
     names = table["lang"].combine_chunks().dictionary_encode()
     languages = names.dictionary.to_pylist()
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     size = 1 << LOG_BUCKETS
     counts = np.zeros((size + 1, len(languages)))
     if languages:
@@ -164,7 +168,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             for row, end, best, share in guesses(model, batch.column("text")):
                 yield record(_PREDICTED, doc_id=batch.column("doc_id")[row:end], lang_pred=names[best], score=share)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(frugal(run), "doc_id long, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, folds: int = 5) -> DataFrame:
