@@ -36,3 +36,25 @@ def test_stream_equals_batch_through_restarts_and_state_expires(spark):
     states = [[p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]] for q in queries]
     # Days 0 and 1 are closed when day 9 has come; their keys are gone.
     assert max(max(s) for s in states if s) >= 6 and states[-1][-1] <= 2
+
+
+def test_counts_are_native_state_and_late_clicks_of_an_open_day_do_not_count(spark):
+    def start(lines, base, checkpoint):
+        return cutoff.start_cutoff(lines, f"{base}/out", checkpoint, arrivals.AVAILABLE_NOW, 3, fold_every=2)
+
+    inbox = Inbox(spark, start)
+    hour = 3600
+    first = [(ms(0, 9 * hour), "P", "P-1", 1, 1), (ms(0, 9 * hour + 1), "P", "P-1", 2, 1)]
+    query = inbox.arrive(first)
+    names = {s["operatorName"] for p in query.recentProgress for s in p["stateOperators"]}
+    assert names == {"stateStoreSave"}  # no Python call per key
+    inbox.arrive([(ms(0, hour + s), "P", "P-1", 1, 1) for s in range(5)])  # more than an hour behind: all late
+    second = [(ms(0, 9 * hour + 2), "P", "P-1", 1, 1), (ms(0, 9 * hour + 3), "P", "P-1", 2, 1)]
+    inbox.arrive(second)
+    out = f"{inbox.base}/out"
+    assert cutoff.read_cutoffs(spark, out).count() == 0
+    third = [(ms(0, 9 * hour + s), "P", "P-1", 1, 1) for s in (6, 5)]
+    inbox.arrive(third)
+    assert [(r.user_id, r.cutoff.second) for r in cutoff.read_cutoffs(spark, out).collect()] == [(1, 5)]
+    every = ad_log.clicks(ad_log.lines(spark.createDataFrame(first + second + third[1:], CLICKS)))
+    assert rows(cutoff.read_clicks(spark, out)) == rows(every.select("province", "city", "user_id", "ad_id", "ts"))
