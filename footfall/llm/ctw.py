@@ -5,9 +5,10 @@ and a Krichevsky-Trofimov estimate belongs to every (context, decision). Context
 mixes the estimates of all depths: a context stops or goes deeper with equal prior weight, and
 the training data say how much either explains.
 
-Spark counts all four-byte strings of the training texts. The tree keeps the ``CONTEXTS`` most
-frequent three-byte contexts, and all shorter ones; what the others have counted stays with their
-parent. So the model has a fixed largest size (rows of 256 numbers) and is broadcast.
+Spark counts all four-byte strings of the training texts. The ``CONTEXTS`` most frequent three-byte
+contexts and all shorter ones are broadcast (rows of 256 numbers, of a fixed largest size). All other
+three-byte contexts belong to the same tree: tasks work out what they add to their parents and then
+their rows, which lie in a stored table and are joined to the bytes that need them.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import LOWER, fold, pieces, record, signed, split_words, stored, word_hashes
+from footfall.llm.common import LOWER, bitmap, fold, pieces, record, signed, split_words, stored, word_hashes
+from footfall.session import scratch
 
 DEPTH = 3
-CONTEXTS = 1 << 16  # deepest contexts; the table is at most 2 * CONTEXTS kB
+CONTEXTS = 1 << 16  # deepest contexts that are broadcast; the table is at most 2 * CONTEXTS kB. The others are joined
 FREQUENT = 1 << 18  # words whose counts are broadcast (4 MB); the others are joined
 EDGE = 0xFF  # never a byte of UTF-8: stands before and after a text
 
@@ -148,8 +150,31 @@ class Level(NamedTuple):
         return out
 
 
+class Outer(NamedTuple):
+    """The deepest contexts that are not in the last level: the log estimates of all of a parent's, summed up."""
+
+    parents: np.ndarray  # may repeat
+    whole: np.ndarray  # (parent, 256)
+
+
 def build(levels: list[Level]) -> Tree:
-    """The tree of contexts of 0 to ``len(levels) - 1`` bytes.
+    """The tree of contexts of 0 to ``len(levels) - 1`` bytes; see :func:`grow`."""
+    return grow(levels)[0]
+
+
+def _mixed(n: np.ndarray, shares: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimates of a one from the counts, and those mixed with what the shallower contexts give."""
+    total = n.sum(axis=-1)
+    own = (n[..., 1] + 0.5) / (total + 1)
+    if shares is None:
+        shares, weights, ends = np.zeros_like(own), np.ones_like(own), own
+    return own, np.where(total > 0, shares + weights * own, ends)
+
+
+def grow(levels: list[Level], outer: Outer | None = None) -> tuple[Tree, tuple[np.ndarray, ...] | None]:
+    """The tree, and what the contexts above the deepest ones pass on to those (none without any).
+
+    With ``outer`` the last level and it hold all contexts of that depth between them.
 
     The last byte of a context is its lowest; the parent lacks the highest. A context is in
     ``levels`` only if its parent is. For a path that ends at depth d the estimates of depth k < d
@@ -163,6 +188,9 @@ def build(levels: list[Level]) -> Tree:
     below = [np.zeros((len(level.contexts), 256)) for level in levels[:depth]]
     rest = [_decisions(level.cells(0, len(level.contexts))) for level in levels[:depth]]
     for d in range(depth, -1, -1):
+        if d == depth - 1 and outer is not None:
+            np.add.at(below[d], np.searchsorted(levels[d].contexts, outer.parents), outer.whole)
+            rest[d][:] = 0
         if d < depth:
             stop[d] = np.empty_like(below[d])
         for at in range(0, len(levels[d].contexts), _CHUNK):
@@ -185,22 +213,57 @@ def build(levels: list[Level]) -> Tree:
         for at in range(0, len(levels[d].contexts), _CHUNK):
             part = slice(at, at + _CHUNK)
             n = _decisions(levels[d].cells(at, at + _CHUNK))
-            total = n.sum(axis=-1)
-            own = (n[..., 1] + 0.5) / (total + 1)
-            if d:
-                shares, weights, ends = (x[parents[d][part]] for x in above)
-            else:
-                shares, weights, ends = np.zeros_like(own), np.ones_like(own), own
-            mixed = np.where(total > 0, shares + weights * own, ends)
+            shares, weights, ends = (x[parents[d][part]] for x in above) if d else (None, None, None)
+            own, mixed = _mixed(n, shares, weights, ends)
             logs.append(_byte_logs(mixed))
             if d < depth:
                 going = stop[d][part]
+                if d == 0:
+                    shares, weights = np.zeros_like(own), np.ones_like(own)
                 kept.append((shares + weights * going * own, weights * (1 - going), mixed))
         if d < depth:
             above = tuple(np.concatenate(x) for x in zip(*kept, strict=True))
         rows.append(first + np.arange(len(levels[d].contexts), dtype=np.int32))
         first += len(levels[d].contexts)
-    return Tree(np.concatenate(logs), [level.contexts for level in levels], rows)
+    return Tree(np.concatenate(logs), [level.contexts for level in levels], rows), above
+
+
+_OUTER = pa.schema([("parent", pa.int64()), ("state", pa.list_(pa.float64()))])
+_TAILS = pa.schema([("context", pa.int64()), ("logs", pa.list_(pa.float32()))])
+
+
+def _lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A matrix as a column of lists, one for each row."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32()), pa.array(values.ravel(), kind))
+
+
+def _outer_counts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Rows (context, found: bytes with counts) as ranges with their counts at all decisions."""
+    for at in range(0, batch.num_rows, _CHUNK):
+        found = batch.column("found").slice(at, _CHUNK)
+        cells = np.zeros((len(found), 256))
+        row = np.repeat(np.arange(len(found)), np.diff(found.offsets.to_numpy()))
+        pairs = found.flatten()
+        cells[row, pairs.field("byte").to_numpy()] = pairs.field("n").to_numpy()
+        yield at, at + len(found), _decisions(cells)
+
+
+def _outer_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        parent = batch.column("parent").to_numpy()
+        for at, end, n in _outer_counts(batch):
+            parents, inverse = np.unique(parent[at:end], return_inverse=True)
+            sums = np.zeros((len(parents), 256))
+            np.add.at(sums, inverse, _log_estimate(n))
+            yield record(_OUTER, parent=parents, state=_lists(sums, pa.float64()))
+
+
+def _outer_logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at, end, n in _outer_counts(batch):
+            above = batch.column("state").slice(at, end - at).flatten().to_numpy().reshape(-1, 3, 256)
+            mixed = _mixed(n, above[:, 0], above[:, 1], above[:, 2])[1]
+            yield record(_TAILS, context=batch.column("context")[at:end], logs=_lists(_byte_logs(mixed), pa.float32()))
 
 
 class Maps(NamedTuple):
@@ -227,12 +290,29 @@ def row_maps(tree: Tree) -> Maps:
 
 
 def byte_scores(tree: Tree, maps: Maps, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """log10 P of every text, its end included."""
+    """log10 P of every text, its end included, by a tree that holds all contexts."""
+    return _byte_scores(tree, maps, np.zeros(0, np.uint64), data, offsets)[0]
+
+
+def _byte_scores(
+    tree: Tree, maps: Maps, outer: np.ndarray, data: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """log10 P of every text without the bytes after contexts in the set ``outer``; and those: text, string and how often."""
     codes, firsts = _strings(data, offsets)
     near = codes >> np.uint32(8) & np.uint32(0xFFFF)
     row = maps.three[maps.block[near], codes >> np.uint32(24)]
-    row = np.where(row < 0, maps.two[near], row)
-    return np.add.reduceat(tree.logs[row, codes & np.uint32(0xFF)], firsts, dtype=np.float64)
+    away = np.flatnonzero(row < 0)
+    row[away] = maps.two[near[away]]
+    values = tree.logs[row, codes & np.uint32(0xFF)]
+    if len(outer):
+        context = (codes[away] >> np.uint32(8)).astype(np.uint64)
+        away = away[(outer[context >> np.uint64(6)] >> (context & np.uint64(63))) & np.uint64(1) == 1]
+    else:
+        away = away[:0]
+    values[away] = 0
+    text = np.searchsorted(firsts, away, side="right") - 1
+    pairs, times = np.unique(text.astype(np.int64) << 32 | codes[away].astype(np.int64), return_counts=True)
+    return np.add.reduceat(values, firsts, dtype=np.float64), pairs >> 32, pairs & 0xFFFFFFFF, times
 
 
 class Model(NamedTuple):
@@ -242,6 +322,8 @@ class Model(NamedTuple):
     texts: int  # training texts: the count of the end token
     tokens: int
     distinct: int
+    outer: np.ndarray  # bits of the three-byte contexts outside of the broadcast tree; empty if there are none
+    tails: str  # folder of the table of their rows
 
 
 def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
@@ -251,12 +333,19 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
     totals = {r.kind: r.n for r in counted.where(F.col("kind").isin(_TEXT, _TOKEN)).collect()}
     words = counted.where(F.col("kind") == _WORD).select(F.col("key").alias("word"), "n")
     strings = counted.where(F.col("kind") == _STRING).select(F.shiftright("key", 8).alias("context"), (F.col("key").bitwiseAND(255)).alias("byte"), "n")
-    levels = []
+    levels, outer, tails = [], np.zeros(0, np.uint64), ""
+    summed = deepest = None
     for d in range(DEPTH + 1):
         own = strings.withColumn("context", F.col("context").bitwiseAND((1 << 8 * d) - 1))
         if d == DEPTH:
             kept = own.groupBy("context").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "context").limit(CONTEXTS).select("context")
-            own = own.join(F.broadcast(kept), "context")  # at most CONTEXTS numbers
+            kept = F.broadcast(stored(kept, "contexts"))  # at most CONTEXTS numbers
+            deepest = (
+                own.join(kept, "context", "left_anti")
+                .groupBy(F.col("context").bitwiseAND((1 << 8 * (d - 1)) - 1).alias("parent"), "context")
+                .agg(F.sort_array(F.collect_list(F.struct("byte", "n"))).alias("found"))  # at most 256
+            )
+            own = own.join(kept, "context")
         table = own.groupBy("context", "byte").agg(F.sum("n").alias("n")).toArrow()
         context, byte, n = (table[c].to_numpy() for c in ("context", "byte", "n"))
         if not len(context):
@@ -264,17 +353,34 @@ def fit(docs: DataFrame, learn: Column) -> tuple[Model, DataFrame]:
                 break
             context, byte, n = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1)
         levels.append(Level.of(context, byte, n))
+        if d == DEPTH:
+            deepest = stored(deepest, "deepest")
+            sums = deepest.repartition("parent").sortWithinPartitions("parent", "context").mapInArrow(_outer_sums, "parent long, state array<double>")
+            sums = sums.toArrow()  # a few rows for each of at most 2^16 parents
+            if sums.num_rows:
+                summed = Outer(sums["parent"].to_numpy(), sums["state"].combine_chunks().flatten().to_numpy().reshape(-1, 256))
+    tree, above = grow(levels, summed)
+    if summed is not None:
+        spark = docs.sparkSession
+        parents = np.unique(summed.parents)
+        at = np.searchsorted(levels[DEPTH - 1].contexts, parents)
+        states = pa.table([pa.array(parents), _lists(np.concatenate([x[at] for x in above], axis=1), pa.float64())], schema=_OUTER)
+        tails = scratch(spark, "tails")
+        # One row of 768 numbers for each of at most 2^16 parents, on the disk before they are joined.
+        states = stored(spark.createDataFrame(states), "states")
+        deepest.join(states, "parent").mapInArrow(_outer_logs, "context long, logs array<float>").write.parquet(tails)
+        outer = bitmap(deepest.select(F.shiftleft("context", 64 - 8 * DEPTH).alias("slot")), "slot", 8 * DEPTH)
     top = words.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
     order = np.argsort(top["word"].to_numpy())
     model = Model(
-        build(levels), top["word"].to_numpy()[order], top["n"].to_numpy()[order], totals.get(_TEXT, 0),
-        totals.get(_TOKEN, 0) + totals.get(_TEXT, 0), words.count() + (totals.get(_TEXT, 0) > 0),
+        tree, top["word"].to_numpy()[order], top["n"].to_numpy()[order], totals.get(_TEXT, 0),
+        totals.get(_TOKEN, 0) + totals.get(_TEXT, 0), words.count() + (totals.get(_TEXT, 0) > 0), outer, tails,
     )
     return model, words
 
 
 _SCORED = pa.schema([
-    ("row", pa.int64()), ("word", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
+    ("row", pa.int64()), ("word", pa.int64()), ("string", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
     ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("n", pa.int64()),
 ])
 
@@ -287,7 +393,8 @@ def scores(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score and bits_per_byte of every whole text.
 
     A task scores its texts with the frequent words it holds, and writes one row for every other
-    word of a text; those meet their counts in a join and are summed up per text.
+    word of a text, and for every string after a context outside of the broadcast tree; those meet
+    their counts and rows in joins and are summed up per text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -311,36 +418,54 @@ def scores(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
                 n_known = np.bincount(owner, weights=own, minlength=size).astype(np.int64) + (model.texts > 0)
                 rows = number + np.arange(size)
                 number += size
+                score, text, string, count = _byte_scores(model.tree, maps, model.outer, data, offsets)
+                unset = pa.nulls(size, pa.int64())
                 yield record(
-                    _SCORED, row=rows, word=pa.nulls(size, pa.int64()), doc_id=batch.column("doc_id")[row:end],
+                    _SCORED, row=rows, word=unset, string=unset, doc_id=batch.column("doc_id")[row:end],
                     n_tokens=np.diff(pointers) + 1, n_known=n_known, base_score=base,
-                    score=byte_scores(model.tree, maps, data, offsets), n=np.diff(offsets) + 1,
+                    score=score, n=np.diff(offsets) + 1,
                 )
                 pairs, times = np.unique(owner[~own] * len(found) + inverse[~own], return_counts=True)
                 none = pa.nulls(len(pairs), pa.int64())
                 real = pa.nulls(len(pairs), pa.float64())
                 yield record(
-                    _SCORED, row=rows[pairs // max(len(found), 1)], word=found[pairs % max(len(found), 1)], doc_id=none, n_tokens=none,
-                    n_known=none, base_score=real, score=real, n=times,
+                    _SCORED, row=rows[pairs // max(len(found), 1)], word=found[pairs % max(len(found), 1)], string=none, doc_id=none,
+                    n_tokens=none, n_known=none, base_score=real, score=real, n=times,
                 )
-
-    kinds = "row long, word long, doc_id long, n_tokens long, n_known long, base_score double, score double, n long"
+                if len(string):
+                    none, real = pa.nulls(len(string), pa.int64()), pa.nulls(len(string), pa.float64())
+                    yield record(
+                        _SCORED, row=rows[text], word=none, string=string, doc_id=none,
+                        n_tokens=none, n_known=none, base_score=real, score=real, n=count,
+                    )
+
+    kinds = "row long, word long, string long, doc_id long, n_tokens long, n_known long, base_score double, score double, n long"
     everything = stored(docs.select("doc_id", "text").mapInArrow(run, kinds), "scores")
     rest = everything.where("word is not null").select("row", "word", F.col("n").alias("times"))
     gain = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(model.tokens + model.distinct + 1)))
-    summed = (
-        rest.join(words, "word", "left")
-        .groupBy("row")
-        .agg(F.sum(F.col("times") * gain).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("more_known"))
+    more = rest.join(words, "word", "left").select(
+        "row", (F.col("times") * gain).alias("more"), F.when(F.col("n").isNotNull(), F.col("times")).alias("more_known"), F.lit(None).cast("double").alias("more_score")
     )
+    if model.tails:
+        strings = everything.where("string is not null").select("row", "string", F.shiftright("string", 8).alias("context"), F.col("n").alias("times"))
+        tails = docs.sparkSession.read.schema("context long, logs array<float>").parquet(model.tails)
+        value = F.get("logs", F.col("string").bitwiseAND(255).cast("int")).cast("double")
+        more = more.unionByName(strings.join(tails, "context").select("row", (F.col("times") * value).alias("more_score")), allowMissingColumns=True)
+    summed = more.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("more", "more_known", "more_score")))
     zero = F.lit(0)
-    return everything.where("word is null").drop("word").join(summed, "row", "left").select(
-        "doc_id",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", zero)).alias("n_known"),
-        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
-        (-F.col("score") * math.log2(10) / F.col("n")).alias("bits_per_byte"),
+    return (
+        everything.where("word is null and string is null")
+        .drop("word", "string")
+        .join(summed, "row", "left")
+        .withColumn("score", F.col("score") + F.coalesce("more_score", F.lit(0.0)))
+        .select(
+            "doc_id",
+            "n_tokens",
+            (F.col("n_known") + F.coalesce("more_known", zero)).alias("n_known"),
+            (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+            "score",
+            (-F.col("score") * math.log2(10) / F.col("n")).alias("bits_per_byte"),
+        )
     )
 
 

@@ -553,3 +553,17 @@ def test_pipeline_ends(spark, toxic):
     got = corpus_pipeline.run(spark, SMALL).toPandas()
     assert len(got) == got.doc_id.nunique() and len(got) > 0.7 * documents(spark, SMALL).count()
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_contexts_outside_of_the_broadcast_tree_score_alike(spark, monkeypatch):
+    """With few contexts broadcast, all others count and score as if they were there too."""
+    rng = np.random.default_rng(11)
+    texts = ["".join(rng.choice(list("abcdeé \n"), size=rng.integers(0, 120)).tolist()) for _ in range(60)] + [None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = {r.doc_id: r for r in ctw.score(docs).collect()}
+    monkeypatch.setattr(ctw, "CONTEXTS", 40)
+    got = {r.doc_id: r for r in ctw.score(docs).collect()}
+    assert got.keys() == want.keys() == set(range(len(texts)))
+    for i, row in want.items():
+        assert math.isclose(got[i].score, row.score, rel_tol=1e-6) and math.isclose(got[i].bits_per_byte, row.bits_per_byte, rel_tol=1e-6)
+        assert (got[i].n_known, got[i].n_tokens) == (row.n_known, row.n_tokens) and math.isclose(got[i].base_score, row.base_score, rel_tol=1e-9)
