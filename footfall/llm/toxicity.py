@@ -2,18 +2,21 @@
 
 A word's embedding is the sum of hashed ones, of the whole word and of its first 4 and 8 bytes;
 filters of several widths run over the words, each filter keeps its largest answer in the text,
-and a logistic layer weighs those. Training works on a bounded
-sample of labelled documents. Thresholds are calibrated per language, where the language is
-itself read from the text; the score is shifted so that the threshold lies at one half.
+and a logistic layer weighs those. Training starts on a bounded sample of labelled documents; from
+there tasks go on over all labelled documents, and what they have learned is averaged. Thresholds
+are calibrated on a fifth of all labelled documents per language, where the language is itself read
+from the text; the score is shifted so that the threshold lies at one half.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +29,9 @@ _KINDS = 1 + len(STEM_BYTES)
 DIMENSION = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 6  # of each width
-SAMPLE = 3000  # documents of each class that training sees at most, by the hash of their text
+SAMPLE = 3000  # documents of each class that training starts on at most, by the hash of their text
 SAMPLE_WORDS = 4000  # longer documents are not sampled; both bound what reaches the driver
+BATCH_WORDS = 1 << 17  # a task's batch ends at so many words
 EPOCHS = 12
 STEPS = 600  # at least so many batches, if the sample is small
 BATCH = 64
@@ -92,61 +96,146 @@ def logits(model: Model, words: np.ndarray, pointers: np.ndarray) -> np.ndarray:
     return total
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, float]:
-    """Minibatch AdaGrad on the logistic loss. Gradients reach only the windows that won the pooling."""
-    rng = np.random.default_rng(seed)
-    embedding = rng.normal(0, 0.03, (1 << LOG_WORDS, DIMENSION)).astype(np.float32)
-    embedding[PAD] = 0
-    filters = [rng.normal(0, 0.4, (w, DIMENSION, FILTERS)).astype(np.float32) for w in WIDTHS]
-    bias = np.zeros((len(WIDTHS), FILTERS), np.float32)
-    dense = rng.normal(0, 0.3, len(WIDTHS) * FILTERS).astype(np.float32)
-    intercept = np.zeros(1, np.float32)
-    squares = [np.full_like(x, 1e-4) for x in (embedding, *filters, bias, dense, intercept)]
-
-    def step(k: int, value: np.ndarray, gradient: np.ndarray) -> None:
-        squares[k] += gradient**2
-        value -= RATE * gradient / np.sqrt(squares[k])
-
+class Net:
+    """The parameters in training, with the sums of squared gradients that set AdaGrad's steps."""
+
+    def __init__(self, rng: np.random.Generator):
+        self.embedding = rng.normal(0, 0.03, (1 << LOG_WORDS, DIMENSION)).astype(np.float32)
+        self.embedding[PAD] = 0
+        self.filters = [rng.normal(0, 0.4, (w, DIMENSION, FILTERS)).astype(np.float32) for w in WIDTHS]
+        self.bias = np.zeros((len(WIDTHS), FILTERS), np.float32)
+        self.dense = rng.normal(0, 0.3, len(WIDTHS) * FILTERS).astype(np.float32)
+        self.intercept = np.zeros(1, np.float32)
+        self.squares = [np.full_like(x, 1e-4) for x in self.all()]
+        self.touched = np.zeros(1 << LOG_WORDS)  # batches that moved an embedding
+
+    def all(self) -> list[np.ndarray]:
+        return [self.embedding, *self.filters, self.bias, self.dense, self.intercept]
+
+    def step(self, k: int, value: np.ndarray, gradient: np.ndarray) -> None:
+        self.squares[k] += gradient**2
+        value -= RATE * gradient / np.sqrt(self.squares[k])
+
+    def learn(self, texts: list[np.ndarray], labels: np.ndarray, weights: np.ndarray | float, rng: np.random.Generator) -> None:
+        """One batch of AdaGrad on the weighted logistic loss. Gradients reach only the windows that won the pooling."""
+        embedding, filters, bias, dense, intercept, squares, step = (
+            self.embedding, self.filters, self.bias, self.dense, self.intercept, self.squares, self.step,
+        )
+        drawn = [t[rng.random(len(t)) < KEPT] for t in texts]
+        sequence, starts, ends = padded(np.concatenate(drawn), np.concatenate([[0], np.cumsum([len(t) for t in drawn])]))
+        vectors, count = embedding[sequence].sum(axis=1), len(sequence) - _TAIL
+        winners, pooled = [], []
+        for i, width in enumerate(WIDTHS):
+            answers = sum(vectors[t : count + t] @ filters[i][t] for t in range(width))
+            best = _pooled(answers, starts, ends)
+            won = np.stack([s + answers[s:e].argmax(axis=0) for s, e in zip(starts, ends, strict=True)])
+            winners.append(won)
+            pooled.append(np.maximum(best + bias[i], 0))
+        features = np.concatenate(pooled, axis=1)
+        guess = 1 / (1 + np.exp(-np.clip(features @ dense + intercept[0], -30, 30)))
+        error = ((guess - labels) * weights / len(texts)).astype(np.float32)
+        back = np.outer(error, dense) * (features > 0)
+        changes = np.zeros((0,), np.int64), np.zeros((0, DIMENSION), np.float32)
+        for i, width in enumerate(WIDTHS):
+            flow = back[:, i * FILTERS : (i + 1) * FILTERS]
+            gradient = np.zeros_like(filters[i])
+            for t in range(width):
+                hit = sequence[winners[i] + t]  # text, filter, kind of bucket
+                gradient[t] = np.einsum("nf,nfd->df", flow, vectors[winners[i] + t])
+                moved = np.repeat((flow[:, :, None] * filters[i][t].T[None]).reshape(-1, DIMENSION), _KINDS, axis=0)
+                changes = np.concatenate([changes[0], hit.ravel()]), np.concatenate([changes[1], moved])
+            step(1 + i, filters[i], gradient + PENALTY * filters[i])
+        rows, inverse = np.unique(changes[0], return_inverse=True)
+        summed = np.zeros((len(rows), DIMENSION), np.float32)
+        np.add.at(summed, inverse, changes[1])
+        squares[0][rows] += summed**2
+        embedding[rows] -= RATE * summed / np.sqrt(squares[0][rows])
+        embedding[PAD] = 0
+        k = 1 + len(WIDTHS)
+        step(k, bias, np.stack([back[:, i * FILTERS : (i + 1) * FILTERS].sum(axis=0) for i in range(len(WIDTHS))]))
+        step(k + 1, dense, features.T @ error + PENALTY * dense)
+        step(k + 2, intercept, error.sum(keepdims=True))
+        self.touched[rows] += 1
+
+    def taps(self) -> list[np.ndarray]:
+        return [np.stack([self.embedding @ self.filters[i][t] for t in range(w)]).astype(np.float32) for i, w in enumerate(WIDTHS)]
+
+
+def train(net: Net, texts: list[np.ndarray], labels: np.ndarray, rng: np.random.Generator) -> None:
+    """Minibatches over a sample, in several epochs."""
     for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(texts)))):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
-            drawn = [texts[i][rng.random(len(texts[i])) < KEPT] for i in chosen]
-            sequence, starts, ends = padded(np.concatenate(drawn), np.concatenate([[0], np.cumsum([len(t) for t in drawn])]))
-            vectors, count = embedding[sequence].sum(axis=1), len(sequence) - _TAIL
-            winners, pooled = [], []
-            for i, width in enumerate(WIDTHS):
-                answers = sum(vectors[t : count + t] @ filters[i][t] for t in range(width))
-                best = _pooled(answers, starts, ends)
-                won = np.stack([s + answers[s:e].argmax(axis=0) for s, e in zip(starts, ends, strict=True)])
-                winners.append(won)
-                pooled.append(np.maximum(best + bias[i], 0))
-            features = np.concatenate(pooled, axis=1)
-            guess = 1 / (1 + np.exp(-np.clip(features @ dense + intercept[0], -30, 30)))
-            error = ((guess - labels[chosen]) / len(chosen)).astype(np.float32)
-            back = np.outer(error, dense) * (features > 0)
-            changes = np.zeros((0,), np.int64), np.zeros((0, DIMENSION), np.float32)
-            for i, width in enumerate(WIDTHS):
-                flow = back[:, i * FILTERS : (i + 1) * FILTERS]
-                gradient = np.zeros_like(filters[i])
-                for t in range(width):
-                    hit = sequence[winners[i] + t]  # text, filter, kind of bucket
-                    gradient[t] = np.einsum("nf,nfd->df", flow, vectors[winners[i] + t])
-                    moved = np.repeat((flow[:, :, None] * filters[i][t].T[None]).reshape(-1, DIMENSION), _KINDS, axis=0)
-                    changes = np.concatenate([changes[0], hit.ravel()]), np.concatenate([changes[1], moved])
-                step(1 + i, filters[i], gradient + PENALTY * filters[i])
-            rows, inverse = np.unique(changes[0], return_inverse=True)
-            summed = np.zeros((len(rows), DIMENSION), np.float32)
-            np.add.at(summed, inverse, changes[1])
-            squares[0][rows] += summed**2
-            embedding[rows] -= RATE * summed / np.sqrt(squares[0][rows])
-            embedding[PAD] = 0
-            k = 1 + len(WIDTHS)
-            step(k, bias, np.stack([back[:, i * FILTERS : (i + 1) * FILTERS].sum(axis=0) for i in range(len(WIDTHS))]))
-            step(k + 1, dense, features.T @ error + PENALTY * dense)
-            step(k + 2, intercept, error.sum(keepdims=True))
-    taps = [np.stack([embedding @ filters[i][t] for t in range(w)]).astype(np.float32) for i, w in enumerate(WIDTHS)]
-    return taps, bias, dense, float(intercept[0])
+            net.learn([texts[i] for i in chosen], labels[chosen], 1.0, rng)
+
+
+_PARTS = pa.schema([("part", pa.int32()), ("moved", pa.list_(pa.float64()))])
+_BLOCKS = 64  # of embeddings, that are averaged apart
+
+
+def _refine(batches: Iterator[pa.RecordBatch], start: Net, balance: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Train on all documents of a task once, from a common start; gives the moves and the weights to average them by.
+
+    An embedding counts as often as it was moved, so words of few tasks are not diluted by the others; all else counts by documents.
+    """
+    net, rng, count = copy.deepcopy(start), np.random.default_rng(TaskContext.get().partitionId()), 0
+    net.touched[:] = 0
+    texts, marks, held = [], [], 0
+
+    def flush() -> None:
+        nonlocal held
+        labels = np.array(marks)
+        net.learn(texts, labels, balance[labels], rng)
+        texts.clear(), marks.clear()
+        held = 0
+
+    for batch in batches:
+        toxic = batch.column("toxic").to_numpy()
+        for row, end, data, offsets in pieces(batch.column("text")):
+            words, pointers = buckets(data, offsets)
+            for i in range(end - row):
+                texts.append(words[pointers[i] : pointers[i + 1]])
+                marks.append(toxic[row + i])
+                held += len(texts[-1])
+                count += 1
+                if len(texts) == BATCH or held >= BATCH_WORDS:
+                    flush()
+    if texts:
+        flush()
+    if not count:
+        return
+    moves = [(b - a).astype(np.float64) for a, b in zip(start.all(), net.all(), strict=True)]
+    blocks = zip(np.split(moves[0], _BLOCKS), np.split(net.touched, _BLOCKS), strict=True)
+    parts = [np.concatenate([(move * times[:, None]).ravel(), times]) for move, times in blocks]
+    parts.append(np.concatenate([x.ravel() * count for x in moves[1:]] + [[count]]))
+    for part, moved in enumerate(parts):
+        yield record(_PARTS, part=[part], moved=[moved])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, moved in zip(batch.column("part").to_pylist(), batch.column("moved"), strict=True):
+            sums[part] = sums.get(part, 0) + moved.values.to_numpy()
+    for part, moved in sums.items():
+        yield record(_PARTS, part=[part], moved=[moved])
+
+
+def _averaged(net: Net, parts: pa.Table) -> None:
+    """Move the parameters by the weighted mean of what the tasks found."""
+    size = (1 << LOG_WORDS) // _BLOCKS
+    for part, moved in zip(parts["part"].to_pylist(), parts["moved"].combine_chunks(), strict=True):
+        moved = moved.values.to_numpy()
+        if part < _BLOCKS:
+            times = moved[size * DIMENSION :]
+            rows = slice(part * size, (part + 1) * size)
+            net.embedding[rows] += moved[: size * DIMENSION].reshape(size, DIMENSION) / np.maximum(times, 1)[:, None]
+        else:
+            at = 0
+            for value in net.all()[1:]:
+                value += (moved[at : at + value.size] / moved[-1]).reshape(value.shape)
+                at += value.size
 
 
 def threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
@@ -162,16 +251,15 @@ def threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> fl
     return float((low + high) / 2)
 
 
-_SAMPLED = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int32())), ("toxic", pa.int32()), ("spoken", pa.int32())])
+_SAMPLED = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int32())), ("toxic", pa.int32())])
 
 
-def _views(batches: Iterator[pa.RecordBatch], model: language.Model) -> Iterator[pa.RecordBatch]:
+def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spoken = np.concatenate([[], *(best for _, _, best, _ in language.guesses(model, batch.column("text")))])
         for row, end, data, offsets in pieces(batch.column("text")):
             words, pointers = buckets(data, offsets)
             lists = pa.ListArray.from_arrays(pa.array(_KINDS * pointers, pa.int32()), pa.array(words.ravel(), pa.int32()))
-            yield record(_SAMPLED, h=batch.column("h")[row:end], words=lists, toxic=batch.column("toxic")[row:end], spoken=spoken[row:end].astype(np.int32))
+            yield record(_SAMPLED, h=batch.column("h")[row:end], words=lists, toxic=batch.column("toxic")[row:end])
 
 
 def _sample(marked: DataFrame) -> list[tuple[int, int, int]]:
@@ -193,49 +281,85 @@ def _sample(marked: DataFrame) -> list[tuple[int, int, int]]:
     return out
 
 
+_BINNED = pa.schema([("spoken", pa.int32()), ("toxic", pa.int32()), ("bin", pa.int32())])
+_STEP = 1 / 128  # thresholds are found in steps of this many logits, below the limit
+_LIMIT = 32
+
+
+def _binned(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for (row, end, data, offsets), (_, _, best, _) in zip(pieces(batch.column("text")), language.guesses(model.languages, batch.column("text")), strict=True):
+            found = np.rint(np.clip(logits(model, *buckets(data, offsets)), -_LIMIT, _LIMIT) / _STEP)
+            yield record(_BINNED, spoken=best.astype(np.int32), toxic=batch.column("toxic")[row:end], bin=found.astype(np.int32))
+
+
+def _start(rows: DataFrame, marked: DataFrame, apart: bool) -> tuple[Net, bool]:
+    """Parameters trained on the sample; if that lacks a class, drawn ones and False."""
+    net = Net(rng := np.random.default_rng(7))
+    chosen = _sample(marked)
+    if len({toxic for _, _, toxic in chosen}) < 2:
+        return net, False
+    # At most 2 * SAMPLE rows, once; one text per hash.
+    wanted = F.broadcast(rows.sparkSession.createDataFrame(chosen, "doc_id long, h long, toxic int"))
+    found = rows.select("doc_id", "text", "h").join(wanted, ["doc_id", "h"]).select("h", "text", "toxic")
+    table = found.mapInArrow(frugal(_views), "h long, words array<int>, toxic int").toArrow()
+    table = table.take(np.unique(table["h"].to_numpy(), return_index=True)[1])  # repeated rows
+    if apart:
+        table = table.filter(pa.array(table["h"].to_numpy() % 5 != 0))
+    values = table["words"].combine_chunks()
+    texts = [x.reshape(-1, _KINDS) for x in np.split(values.flatten().to_numpy(), np.cumsum(np.diff(values.offsets.to_numpy()))[:-1])]
+    # The order in which rows arrive is not fixed; their content is.
+    order = sorted(range(len(texts)), key=lambda i: (len(texts[i]), texts[i].tobytes()))
+    toxic = table["toxic"].to_numpy()[order]
+    if len(set(toxic)) < 2:
+        return net, False
+    train(net, [texts[i] for i in order], toxic, rng)
+    return net, True
+
+
 def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model | None:
-    """Train on at most ``SAMPLE`` documents of each class; None if one class is missing in the sample.
+    """Train on all labelled documents; None if one class is missing among them.
 
-    A fifth of the sample is kept from training to set the thresholds, weighted so that the
-    classes have their share among all labelled documents. A language with fewer than 20
+    At most ``SAMPLE`` documents of each class give the start. From it every task trains once on
+    its part of all labelled documents, the classes weighted alike, and the moves are averaged;
+    without such a start, because one class has only long documents, this is done ``EPOCHS`` times.
+    A fifth of the documents, by the hash of their text, is kept from both to set the thresholds,
+    weighted so that the classes have their share among all. A language with fewer than 20
     documents of either class there takes the common threshold.
     """
     known = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.where(learn & F.col("text").isNotNull())
+    rows = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("h"))
     short = F.size(F.split("text", " ")) <= SAMPLE_WORDS
-    marked = stored(rows.select("doc_id", F.xxhash64("text").alias("h"), short.alias("short")).join(known, "doc_id"), "marked")
-    shares = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen = _sample(marked)
-    if len({toxic for _, _, toxic in chosen}) < 2:
+    marked = stored(rows.select("doc_id", "h", short.alias("short")).join(known, "doc_id"), "marked")
+    aside = F.pmod("h", F.lit(5)) == 0
+    counts = {(r.toxic, r.aside): r.n for r in marked.groupBy("toxic", aside.alias("aside")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares = np.array([counts.get((c, True), 0) + counts.get((c, False), 0) for c in (0, 1)])
+    if not shares.all():
         return None
+    apart = len(counts) == 4
     languages = language.fit(docs, learn)
+    net, started = _start(rows, marked, apart)
     spark = docs.sparkSession
-    spoken = spark.sparkContext.broadcast(languages)
-    # At most 2 * SAMPLE rows, once; one text per hash.
-    wanted = F.broadcast(spark.createDataFrame(chosen, "doc_id long, h long, toxic int"))
-    found = rows.select("doc_id", "text", F.xxhash64("text").alias("h")).join(wanted, ["doc_id", "h"]).select("h", "text", "toxic")
-    table = found.mapInArrow(frugal(lambda b: _views(b, spoken.value)), "h long, words array<int>, toxic int, spoken int").toArrow()
-    table = table.take(np.unique(table["h"].to_numpy(), return_index=True)[1])  # repeated rows
-    values = table["words"].combine_chunks()
-    texts = [x.reshape(-1, _KINDS) for x in np.split(values.flatten().to_numpy(), values.offsets.to_numpy()[1:-1])]
-    # The order in which rows arrive is not fixed; their content is.
-    order = sorted(range(len(texts)), key=lambda i: (len(texts[i]), texts[i].tobytes()))
-    texts = [texts[i] for i in order]
-    toxic, tongue = table["toxic"].to_numpy()[order], table["spoken"].to_numpy()[order]
-    aside = np.arange(len(texts)) % 5 == 0
-    if len(set(toxic[~aside])) < 2 or len(set(toxic[aside])) < 2:
-        aside[:] = False
-    parts = train([t for t, a in zip(texts, aside, strict=True) if not a], toxic[~aside])
-    model = Model(*parts, languages, np.zeros(len(languages.languages) + 1))
-    check = np.flatnonzero(aside if aside.any() else ~aside)
-    pointers = np.concatenate([[0], np.cumsum([len(texts[i]) for i in check])])
-    scores = logits(model, np.concatenate([texts[i] for i in check]), pointers)
-    marks, tongue = toxic[check], tongue[check]
-    weight = np.where(marks == 1, shares[1] / max((marks == 1).sum(), 1), shares[0] / max((marks == 0).sum(), 1))
+    labelled = rows.join(known, "doc_id").select("text", "toxic", "h")
+    seen = np.array([counts[c, False] for c in (0, 1)]) if apart else shares
+    trained = labelled.where(~aside if apart else F.lit(True))
+    for _ in range(1 if started else EPOCHS):
+        shared = spark.sparkContext.broadcast((net, seen.sum() / (2 * seen)))
+        moves = trained.mapInArrow(frugal(lambda b, shared=shared: _refine(b, *shared.value)), "part int, moved array<double>")
+        moves = moves.repartition("part").mapInArrow(_added, "part int, moved array<double>")
+        _averaged(net, moves.toArrow())  # one row for each part
+    model = Model(net.taps(), net.bias, net.dense, float(net.intercept[0]), languages, np.zeros(len(languages.languages) + 1))
+    final = spark.sparkContext.broadcast(model)
+    checked = labelled.where(aside if apart else F.lit(True)).mapInArrow(frugal(lambda b: _binned(b, final.value)), "spoken int, toxic int, bin int")
+    # At most 2 * _LIMIT / _STEP rows for each language and class.
+    bins = checked.groupBy("spoken", "toxic", "bin").agg(F.count(F.lit(1)).alias("n")).orderBy("spoken", "toxic", "bin").toArrow()
+    tongue, marks, place, n = (bins[c].to_numpy() for c in ("spoken", "toxic", "bin", "n"))
+    scores = place * _STEP
+    weight = n * (shares / np.array([n[marks == c].sum() for c in (0, 1)]))[marks]
     model.thresholds[:] = threshold(scores, marks, weight)
     for i in range(len(languages.languages)):
         own = tongue == i
-        if min((own & (marks == 1)).sum(), (own & (marks == 0)).sum()) >= 20:
+        if min(n[own & (marks == 1)].sum(), n[own & (marks == 0)].sum()) >= 20:
             model.thresholds[i] = threshold(scores[own], marks[own], weight[own])
     return model
 

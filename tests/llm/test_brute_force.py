@@ -567,3 +567,22 @@ def test_contexts_outside_of_the_broadcast_tree_score_alike(spark, monkeypatch):
     for i, row in want.items():
         assert math.isclose(got[i].score, row.score, rel_tol=1e-6) and math.isclose(got[i].bits_per_byte, row.bits_per_byte, rel_tol=1e-6)
         assert (got[i].n_known, got[i].n_tokens) == (row.n_known, row.n_tokens) and math.isclose(got[i].base_score, row.base_score, rel_tol=1e-9)
+
+
+def test_toxicity_learns_from_documents_that_the_sample_leaves_out(spark, monkeypatch):
+    """Documents too long for the sample train the model and set its thresholds all the same."""
+    monkeypatch.setattr(toxicity, "SAMPLE_WORDS", 5)
+    rng = np.random.default_rng(5)
+    pool = [f"word{i}" for i in range(200)]
+    data = []
+    for i in range(3000):
+        words = rng.choice(pool, rng.integers(8, 15)).tolist()
+        toxic = int(i % 4 == 0)
+        if toxic:
+            words[int(rng.integers(0, len(words)))] = "vile"
+        data.append((i, " ".join(words), toxic))
+    frame = spark.createDataFrame(data, "doc_id long, text string, toxic int").coalesce(2)
+    docs = frame.selectExpr("doc_id", "text", "'en' AS lang")
+    got = toxicity.classify(docs, frame.select("doc_id", "toxic")).where("held_out").collect()
+    right = [r.predicted == int(r.doc_id % 4 == 0) for r in got]
+    assert len(right) > 400 and sum(right) >= 0.95 * len(right)
