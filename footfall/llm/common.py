@@ -176,15 +176,20 @@ def _libc():
         return None
 
 
+def give_back() -> None:
+    """Give this process's free memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = _libc()
+    if trim:
+        trim(0)
+
+
 def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A task that gives its free memory back to the system at its end; Spark keeps the worker for later ones."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = _libc()
-        if trim:
-            trim(0)
+        give_back()
 
     return whole
 

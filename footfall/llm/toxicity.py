@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm import language
-from footfall.llm.common import LOWER, MARKS, fold, frugal, pieces, record, split_words, stored, word_hashes
+from footfall.llm.common import LOWER, MARKS, fold, frugal, give_back, pieces, record, split_words, stored, word_hashes
 
 LOG_WORDS = 15  # hashed vocabulary of words and word beginnings
 STEM_BYTES = (4, 8)  # so inflected forms share parts of their embedding
@@ -251,14 +251,14 @@ def threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> fl
     return float((low + high) / 2)
 
 
-_SAMPLED = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int32())), ("toxic", pa.int32())])
+_SAMPLED = pa.schema([("h", pa.int64()), ("words", pa.list_(pa.int16())), ("toxic", pa.int32())])  # LOG_WORDS bits fit
 
 
 def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, end, data, offsets in pieces(batch.column("text")):
             words, pointers = buckets(data, offsets)
-            lists = pa.ListArray.from_arrays(pa.array(_KINDS * pointers, pa.int32()), pa.array(words.ravel(), pa.int32()))
+            lists = pa.ListArray.from_arrays(pa.array(_KINDS * pointers, pa.int32()), pa.array(words.ravel().astype(np.int16)))
             yield record(_SAMPLED, h=batch.column("h")[row:end], words=lists, toxic=batch.column("toxic")[row:end])
 
 
@@ -302,7 +302,7 @@ def _start(rows: DataFrame, marked: DataFrame, apart: bool) -> tuple[Net, bool]:
     # At most 2 * SAMPLE rows, once; one text per hash.
     wanted = F.broadcast(rows.sparkSession.createDataFrame(chosen, "doc_id long, h long, toxic int"))
     found = rows.select("doc_id", "text", "h").join(wanted, ["doc_id", "h"]).select("h", "text", "toxic")
-    table = found.mapInArrow(frugal(_views), "h long, words array<int>, toxic int").toArrow()
+    table = found.mapInArrow(frugal(_views), "h long, words array<smallint>, toxic int").toArrow()
     table = table.take(np.unique(table["h"].to_numpy(), return_index=True)[1])  # repeated rows
     if apart:
         table = table.filter(pa.array(table["h"].to_numpy() % 5 != 0))
@@ -311,6 +311,8 @@ def _start(rows: DataFrame, marked: DataFrame, apart: bool) -> tuple[Net, bool]:
     # The order in which rows arrive is not fixed; their content is.
     order = sorted(range(len(texts)), key=lambda i: (len(texts[i]), texts[i].tobytes()))
     toxic = table["toxic"].to_numpy()[order]
+    del found, table, values
+    give_back()
     if len(set(toxic)) < 2:
         return net, False
     train(net, [texts[i] for i in order], toxic, rng)
@@ -339,6 +341,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model | None:
     apart = len(counts) == 4
     languages = language.fit(docs, learn)
     net, started = _start(rows, marked, apart)
+    give_back()  # the sample is gone
     spark = docs.sparkSession
     labelled = rows.join(known, "doc_id").select("text", "toxic", "h")
     seen = np.array([counts[c, False] for c in (0, 1)]) if apart else shares

@@ -13,7 +13,7 @@ import xxhash
 
 import __spark_entry__ as contract
 from footfall.llm import ctw, decontam, language, linededup, packing, quality, simhash, substrings, toxicity
-from footfall.llm.common import documents
+from footfall.llm.common import documents, fold
 from footfall.llm.queries import oracle_sql, queries
 from tests.compare import connect, difference
 from tests.conftest import SMALL
@@ -586,3 +586,22 @@ def test_toxicity_learns_from_documents_that_the_sample_leaves_out(spark, monkey
     got = toxicity.classify(docs, frame.select("doc_id", "toxic")).where("held_out").collect()
     right = [r.predicted == int(r.doc_id % 4 == 0) for r in got]
     assert len(right) > 400 and sum(right) >= 0.95 * len(right)
+
+
+def test_toxicity_sample_reaches_the_driver_in_two_bytes_a_bucket(spark, monkeypatch):
+    """And what the sample took is given back to the system before all documents are trained on."""
+    docs = documents(spark, SMALL)
+    fetch, freed, given, widths, after = type(docs).toArrow, toxicity.give_back, [], [], []
+
+    def spy(self):
+        if "words" in self.columns:
+            widths.append((table := fetch(self))["words"].type.value_type.bit_width)
+            return table
+        if "moved" in self.columns:
+            after.append(len(given))
+        return fetch(self)
+
+    monkeypatch.setattr(toxicity, "give_back", lambda: (given.append(1), freed()))
+    monkeypatch.setattr(type(docs), "toArrow", spy)
+    toxicity.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"), fold("doc_id", 5) != 0)
+    assert widths == [16] and after and min(after) >= 1
