@@ -153,6 +153,24 @@ def in_bitmap(words: np.ndarray, hashes: np.ndarray, log_bits: int) -> np.ndarra
     return (words[slots >> np.uint64(6)] >> (slots & np.uint64(63))) & np.uint64(1) == 1
 
 
+_FILTER_BITS = 24  # at most 2^18 rows of two numbers are broadcast
+
+
+def likely(frame: DataFrame, members: DataFrame, key: str, count: int) -> DataFrame:
+    """The rows whose key is found in ``members``, which has about ``count`` of them, and few others; null keys are left out.
+
+    The keys lie in a broadcast set of bits of a fixed largest size: if full, it only lets more
+    others pass. It stands before a join that shuffles the rows.
+    """
+    log_bits = min(_FILTER_BITS, max(10, (16 * count).bit_length()))
+    slot = F.shiftrightunsigned(F.xxhash64(key), 64 - log_bits)
+    place = (slot.bitwiseAND(F.lit(63))).cast("int")
+    bits = members.where(F.col(key).isNotNull()).select(F.shiftrightunsigned(slot, 6).alias("_word"), place.alias("_place"))
+    bits = bits.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _place)")).alias("_bits"))
+    found = frame.where(F.col(key).isNotNull()).withColumns({"_word": F.shiftrightunsigned(slot, 6), "_place": place}).join(F.broadcast(bits), "_word")
+    return found.where(F.expr("shiftright(_bits, _place) & 1 = 1")).select(*(F.col(f"`{c}`") for c in frame.columns))
+
+
 class Recent:
     """Which hashes a task has met lately, in a table of fixed size: what is forgotten only comes twice."""
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm import language
-from footfall.llm.common import LOWER, MARKS, fold, frugal, give_back, pieces, record, split_words, stored, word_hashes
+from footfall.llm.common import LOWER, MARKS, fold, frugal, give_back, likely, pieces, record, split_words, stored, word_hashes
 
 LOG_WORDS = 15  # hashed vocabulary of words and word beginnings
 STEM_BYTES = (4, 8)  # so inflected forms share parts of their embedding
@@ -343,7 +343,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model | None:
     net, started = _start(rows, marked, apart)
     give_back()  # the sample is gone
     spark = docs.sparkSession
-    labelled = rows.join(known, "doc_id").select("text", "toxic", "h")
+    # Texts are shuffled to their labels at every size, hardly others than labelled ones; labels never pass the driver.
+    labelled = likely(rows, marked, "doc_id", int(shares.sum())).join(known.hint("merge"), "doc_id").select("text", "toxic", "h")
     seen = np.array([counts[c, False] for c in (0, 1)]) if apart else shares
     trained = labelled.where(~aside if apart else F.lit(True))
     for _ in range(1 if started else EPOCHS):

@@ -12,8 +12,8 @@ import pytest
 import xxhash
 
 import __spark_entry__ as contract
-from footfall.llm import ctw, decontam, language, linededup, packing, quality, simhash, substrings, toxicity
-from footfall.llm.common import documents, fold
+from footfall.llm import common, ctw, decontam, language, linededup, packing, quality, simhash, substrings, toxicity
+from footfall.llm.common import documents, fold, likely
 from footfall.llm.queries import oracle_sql, queries
 from tests.compare import connect, difference
 from tests.conftest import SMALL
@@ -588,6 +588,38 @@ def test_toxicity_learns_from_documents_that_the_sample_leaves_out(spark, monkey
     assert len(right) > 400 and sum(right) >= 0.95 * len(right)
 
 
+def test_toxicity_shuffles_texts_of_labelled_documents_only(spark, monkeypatch):
+    """Of many documents few are labelled; no others are joined to their labels."""
+    data = [(i, f"words of text {i} " + ("vile" if i % 40 == 0 else "mild")) for i in range(4000)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "'en' AS lang")
+    labels = docs.where("doc_id % 20 = 0").selectExpr("doc_id", "int(doc_id % 40 = 0) AS toxic")
+    join, joined = type(docs).join, []
+
+    def spy(self, other, on=None, how=None):
+        if on == "doc_id" and "text" in self.columns and "toxic" in other.columns:
+            joined.append(self.count())
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(type(docs), "join", spy)
+    learned = labels.where(fold("doc_id", 5) != 0).count()
+    assert toxicity.fit(docs, labels, fold("doc_id", 5) != 0) is not None
+    assert joined and learned <= max(joined) <= 2.5 * learned
+
+
+def test_likely_rows_hold_all_members(spark, monkeypatch):
+    frame = spark.createDataFrame([(i % 5000 if i % 7 else None, i) for i in range(10_000)], "key long, n int")
+    members = spark.createDataFrame([(i,) for i in [*range(0, 5000, 50), -1, -2]] + [(None,)], "key long")
+    wanted = {r.n for r in frame.where("key % 50 = 0").collect()}
+    found = likely(frame, members, "key", 102)
+    assert found.columns == frame.columns
+    got = [r.n for r in found.collect()]
+    assert len(got) == len(set(got)) and wanted <= set(got) and len(got) <= 2 * len(wanted) + 1000
+    monkeypatch.setattr(common, "_FILTER_BITS", 6)  # so full that it tells nothing apart
+    got = [r.n for r in likely(frame, members, "key", 102).collect()]
+    assert len(got) == len(set(got)) and wanted <= set(got)
+    assert likely(frame, members.where("false"), "key", 0).collect() == []
+
+
 def test_toxicity_sample_reaches_the_driver_in_two_bytes_a_bucket(spark, monkeypatch):
     """And what the sample took is given back to the system before all documents are trained on."""
     docs = documents(spark, SMALL)
