@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.common import fold, frugal, pieces, record
+from footfall.llm.common import PIECE_BYTES, fold, frugal, pieces, record
 
 NGRAMS = (1, 2, 3)
 LOG_BUCKETS = 16
@@ -138,9 +138,9 @@ def log_scores(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarra
     return total
 
 
-def guesses(model: Model, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, number of the best language or -1 for unknown, its probability)."""
-    for row, end, data, offsets in pieces(column):
+def guesses(model: Model, column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, number of the best language or -1 for unknown, its probability), ``limit`` bytes at a time."""
+    for row, end, data, offsets in pieces(column, limit):
         if not model.languages:
             yield row, end, np.full(end - row, -1), np.zeros(end - row)
             continue

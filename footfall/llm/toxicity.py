@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm import language
-from footfall.llm.common import LOWER, MARKS, fold, frugal, give_back, likely, pieces, record, split_words, stored, word_hashes
+from footfall.llm.common import LOWER, MARKS, PIECE_BYTES, fold, frugal, give_back, likely, pieces, record, split_words, stored, word_hashes
 
 LOG_WORDS = 15  # hashed vocabulary of words and word beginnings
 STEM_BYTES = (4, 8)  # so inflected forms share parts of their embedding
@@ -293,14 +293,18 @@ def _binned(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
             yield record(_BINNED, spoken=best.astype(np.int32), toxic=batch.column("toxic")[row:end], bin=found.astype(np.int32))
 
 
+_CHOSEN = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("toxic", pa.int32())])
+
+
 def _start(rows: DataFrame, marked: DataFrame, apart: bool) -> tuple[Net, bool]:
     """Parameters trained on the sample; if that lacks a class, drawn ones and False."""
     net = Net(rng := np.random.default_rng(7))
     chosen = _sample(marked)
     if len({toxic for _, _, toxic in chosen}) < 2:
         return net, False
-    # At most 2 * SAMPLE rows, once; one text per hash.
-    wanted = F.broadcast(rows.sparkSession.createDataFrame(chosen, "doc_id long, h long, toxic int"))
+    # At most 2 * SAMPLE rows, once; one text per hash. Out of an Arrow table Spark makes rows without Python workers.
+    wanted = pa.table([pa.array(x, t) for x, t in zip(zip(*chosen, strict=True), _CHOSEN.types, strict=True)], schema=_CHOSEN)
+    wanted = F.broadcast(rows.sparkSession.createDataFrame(wanted))
     found = rows.select("doc_id", "text", "h").join(wanted, ["doc_id", "h"]).select("h", "text", "toxic")
     table = found.mapInArrow(frugal(_views), "h long, words array<smallint>, toxic int").toArrow()
     table = table.take(np.unique(table["h"].to_numpy(), return_index=True)[1])  # repeated rows
@@ -371,15 +375,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Model | None:
 _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
-def _probabilities(model: Model | None, column: pa.Array) -> np.ndarray:
+def _probabilities(model: Model | None, column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first row, row after the last, their probabilities) of the texts, a piece at a time; what is made of one takes about a hundred times its bytes."""
     if model is None:
-        return np.zeros(len(column))
-    out = [np.empty(0)]
-    spoken = language.guesses(model.languages, column)
-    for (_, _, data, offsets), (_, _, best, _) in zip(pieces(column), spoken, strict=True):
+        yield 0, len(column), np.zeros(len(column))
+        return
+    spoken = language.guesses(model.languages, column, limit)
+    for (row, end, data, offsets), (_, _, best, _) in zip(pieces(column, limit), spoken, strict=True):
         shifted = logits(model, *buckets(data, offsets)) - model.thresholds[best]
-        out.append(1 / (1 + np.exp(-np.clip(shifted, -30, 30))))
-    return np.concatenate(out)
+        yield row, end, 1 / (1 + np.exp(-np.clip(shifted, -30, 30)))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -388,7 +392,8 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield record(_SCORED, doc_id=batch.column("doc_id"), score=_probabilities(shared.value, batch.column("text")))
+            found = [np.empty(0), *(p for _, _, p in _probabilities(shared.value, batch.column("text")))]
+            yield record(_SCORED, doc_id=batch.column("doc_id"), score=np.concatenate(found))
 
     return docs.select("doc_id", "text").mapInArrow(frugal(run), "doc_id long, score double")
 
@@ -407,6 +412,9 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     return score(docs, model).select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+_KEPT_BYTES = 1 << 17  # of text judged at once, beside the whole documents that come and go
+
+
 def keep_clean(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """The documents, with all columns, whose score is below one half. Learns like :func:`classify`."""
     model = fit(docs, labels, fold("doc_id", folds) != 0)
@@ -415,6 +423,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_probabilities(shared.value, batch.column(at)) < 0.5))
+            for row, end, chances in _probabilities(shared.value, batch.column(at), _KEPT_BYTES):
+                yield batch.slice(row, end - row).filter(pa.array(chances < 0.5))
 
     return docs.mapInArrow(frugal(run), docs.schema)

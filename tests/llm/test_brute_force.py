@@ -5,9 +5,11 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -637,3 +639,52 @@ def test_toxicity_sample_reaches_the_driver_in_two_bytes_a_bucket(spark, monkeyp
     monkeypatch.setattr(type(docs), "toArrow", spy)
     toxicity.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"), fold("doc_id", 5) != 0)
     assert widths == [16] and after and min(after) >= 1
+
+
+def _stages(plan):
+    """The numbers of Python operators that stand in one stage of a plan."""
+    done = []
+
+    def here(node):
+        name, children = node.nodeName(), node.children()
+        if name == "AdaptiveSparkPlan":
+            return here(node.initialPlan())
+        found = sum(here(children.apply(i)) for i in range(children.size()))
+        if "Exchange" in name:
+            done.append(found)
+            return 0
+        return found + (name == "MapInArrow")
+
+    return [here(plan), *done]
+
+
+def test_decontamination_runs_one_python_worker_a_task(spark):
+    """Spark keeps the workers that tasks once needed; a second one in each would stay for all later stages."""
+    found = decontam.overlaps(documents(spark, SMALL), spark.read.parquet(f"{SMALL}/benchmark.parquet"))
+    assert max(_stages(found._jdf.queryExecution().executedPlan())) == 1
+
+
+def test_toxicity_sample_is_sent_without_python_workers(spark, monkeypatch):
+    docs, made = documents(spark, SMALL), []
+    create = type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, *a, **b: made.append(create(self, *a, **b)) or made[-1])
+    toxicity.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"), fold("doc_id", 5) != 0)
+    assert made and not [x for x in made if "PythonRDD" in x._jdf.queryExecution().toRdd().toDebugString()]
+
+
+def test_toxicity_scores_texts_piece_by_piece(texts):
+    """With little memory, and as if each text were scored alone."""
+    rng = np.random.default_rng(4)
+    net = toxicity.Net(rng)
+    spoken = language.Model(["de", "en"], np.log([0.5, 0.5]), rng.normal(-9, 1, (1 << language.LOG_BUCKETS, 2)).astype(np.float32))
+    model = toxicity.Model(net.taps(), net.bias, net.dense, 0.0, spoken, np.zeros(3))
+    some = [*texts.values(), None, ""]
+    column = pa.array(some * (1 + (2 << 20) // sum(len(t or "") for t in some)))
+    alone = np.concatenate([p for t in some for _, _, p in toxicity._probabilities(model, pa.array([t], pa.string()))])
+    tracemalloc.start()
+    found = list(toxicity._probabilities(model, column, toxicity._KEPT_BYTES))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [row for row, _, _ in found] == [0, *(end for _, end, _ in found)][:-1] and found[-1][1] == len(column)
+    assert np.allclose(np.concatenate([p for _, _, p in found]), np.tile(alone, len(column) // len(some)), rtol=0, atol=1e-6)
+    assert peak < 100 * max(toxicity._KEPT_BYTES, *(len((t or "").encode()) for t in some)) + 4e6
